@@ -388,7 +388,7 @@ finished AS (
     CASE WHEN g1 THEN t1 WHEN NOT g1 THEN t2 END AS title,
     CASE WHEN g1 THEN x1 WHEN NOT g1 THEN x2 END AS description,
     g1 IS NULL OR (NOT g1 AND g2 IS NULL) AS failed_response,
-    coalesce(g1 OR g2, false) AS quality_passed,
+    coalesce(g1 OR (NOT g1 AND g2), false) AS quality_passed,
     CASE WHEN g1 IS NULL OR g1 THEN 0 WHEN g2 THEN 1 WHEN g2 IS NULL THEN 1 ELSE 2 END AS retry_count
   FROM attempts),
 handled AS (
@@ -412,7 +412,7 @@ tries AS (
   WHERE d.stage = 'draft' AND d.title IS NOT NULL AND d.description IS NOT NULL),
 finished AS (
   SELECT d.source_id, d.bad_details OR a.good IS NULL OR (NOT a.good AND b.good IS NULL) AS failed_response,
-    coalesce(a.good OR b.good, false) AS quality_passed
+    coalesce(a.good OR (NOT a.good AND b.good), false) AS quality_passed
   FROM detailed d LEFT JOIN tries a ON a.source_id = d.source_id AND a.attempt = 1
   LEFT JOIN tries b ON b.source_id = d.source_id AND b.attempt = 2),
 handled AS (

@@ -47,3 +47,13 @@ def count_phrases(lowered: str, phrases: Iterable[str]) -> Column:
 def contains_any(lowered: str, phrases: Iterable[str]) -> Column:
     """Whether one of the phrases occurs in an already lower-cased text column."""
     return F.expr(" OR ".join(f"contains({lowered}, {literal(phrase)})" for phrase in phrases))
+
+
+def rows_of(items: Column) -> Column:
+    """One row per array entry, one with null for an empty array.
+
+    The outer form on purpose: for ``explode`` the optimizer adds a filter on
+    the array's size and pushes it down, which repeats the whole expression
+    behind a computed array. Filter the null entries afterwards.
+    """
+    return F.explode_outer(items)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..config import TriageConfig
-from ..functions.text import unless
+from ..functions.text import rows_of, unless
 
 # columns a bug or feature state may carry
 STATE_COLUMNS = {
@@ -212,6 +212,7 @@ def stage_prompts(states: DataFrame) -> DataFrame:
         ),
     ]
     return (
-        states.select("source_id", F.explode(F.array_compact(F.array(*prompts))).alias("p"))
+        states.select("source_id", rows_of(F.array(*prompts)).alias("p"))
+        .filter(F.col("p").isNotNull())
         .select("source_id", "p.stage", "p.prompt")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import is_blank, strip
+from ..functions.text import is_blank, rows_of, strip
 
 
 def local_issues(
@@ -65,7 +65,8 @@ def review_recorded(drafts: DataFrame, verdict: Column) -> DataFrame:
 
 def issue_counts(reviewed: DataFrame) -> DataFrame:
     return (
-        reviewed.select(F.explode("quality_issues").alias("issue"))
+        reviewed.select(rows_of(F.col("quality_issues")).alias("issue"))
+        .filter(F.col("issue").isNotNull())
         .groupBy("issue")
         .agg(F.count("*").alias("drafts"))
     )

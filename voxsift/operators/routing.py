@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..config import TriageConfig
+from ..functions.text import rows_of
 from .drafting import template_draft
 from .quality import draft_issues
 
@@ -131,17 +132,17 @@ def processing_log(outcome: DataFrame) -> DataFrame:
         )
 
     failed, reason = F.col("failed_response"), F.col("reason")
-    steps = F.array_compact(F.array(
+    steps = F.array(
         F.when(failed, row("pipeline", F.lit("error")))
         .otherwise(row("classifier", F.col("category"), F.col("confidence"))),
         F.when(reason == "low confidence", row("filter", F.lit("skipped")))
         .when(reason == "passed review", row("ticket_creator", F.lit("created")))
         .when(reason == "failed review", row("quality_critic", F.lit("failed"))),
-    ))
+    )
     return outcome.select(
-        "run_id", "source_id", "source_type", F.explode(steps).alias("step"),
+        "run_id", "source_id", "source_type", rows_of(steps).alias("step"),
         F.col("processed_at").alias("timestamp"),
-    ).select(
+    ).filter(F.col("step").isNotNull()).select(
         "run_id", "source_id", "source_type", "step.agent", "step.decision", "step.confidence",
         "timestamp",
     )

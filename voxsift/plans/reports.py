@@ -164,7 +164,7 @@ def priority_crosstab(tickets: DataFrame) -> DataFrame:
         tickets.filter(F.col("category").isNotNull())
         .groupBy("category")
         .pivot("priority", fv.PRIORITIES)
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .na.fill(0)
         .orderBy("category")
     )
