@@ -666,7 +666,7 @@ def all_statements() -> dict[str, str]:
         "run_metrics_recorded": on(_RUN_RECORDED, _METRICS),
         "run_metrics_native": on(_RUN_NATIVE, _METRICS),
         "tickets": on(_WITH_TICKETS, "SELECT * EXCLUDE (n) FROM tickets"),
-        "ticket_numbers": on(_WITH_TICKETS, "SELECT printf('T%04d', n + (SELECT max(n) FROM tickets)) AS ticket_id, source_type, source_id FROM tickets"),
+        "ticket_ids": on(_WITH_TICKETS, "SELECT printf('T%04d', n + (SELECT max(n) FROM tickets)) AS ticket_id, source_type, source_id FROM tickets"),
         "threshold_sweep": on(_run(0.0), """SELECT t.threshold,
               count(*) FILTER (NOT failed_response AND category IN ('Bug', 'Feature Request') AND confidence >= t.threshold AND quality_passed) AS created,
               count(*) FILTER (NOT failed_response AND (category NOT IN ('Bug', 'Feature Request') OR confidence < t.threshold)) AS skipped,

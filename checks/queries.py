@@ -12,7 +12,7 @@ from voxsift.functions.picks import draw, literal, pick
 from voxsift.functions.staging import new_folder
 from voxsift.operators import (
     accounting, details, drafting, edits, evaluation, intake, quality, responses as rs,
-    routing, scoring, ticket_ids,
+    routing, scoring, ticket_ids as numbering,
 )
 from voxsift.plans import generate as gen, reports, triage
 from voxsift.sources import profile, tables
@@ -193,27 +193,31 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine.items(spark, sf_dir).withColumnRenamed("label", "category")
 
 
-def _bugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return details.bug_details(_labelled(spark, sf_dir).filter(F.col("category") == "Bug"))
+def _bugs(labelled: DataFrame) -> DataFrame:
+    return details.bug_details(labelled.filter(F.col("category") == "Bug"))
 
 
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return details.feature_details(
-        _labelled(spark, sf_dir).filter(F.col("category") == "Feature Request")
+def _features(labelled: DataFrame) -> DataFrame:
+    return details.feature_details(labelled.filter(F.col("category") == "Feature Request"))
+
+
+def _actionable(labelled: DataFrame) -> DataFrame:
+    """Bugs and feature requests with their details."""
+    return drafting.with_state(_bugs(labelled)).unionByName(
+        drafting.with_state(_features(labelled))
     )
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items, bugs and feature requests with their details."""
-    others = _labelled(spark, sf_dir).filter(~F.col("category").isin("Bug", "Feature Request"))
-    parts = [_bugs(spark, sf_dir), _features(spark, sf_dir), others]
-    bugs, features, rest = [drafting.with_state(part) for part in parts]
-    return bugs.unionByName(features).unionByName(rest)
+    labelled = _labelled(spark, sf_dir)
+    others = labelled.filter(~F.col("category").isin("Bug", "Feature Request"))
+    return _actionable(labelled).unionByName(drafting.with_state(others))
 
 
 @query
 def bug_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bugs(spark, sf_dir).select(
+    return _bugs(_labelled(spark, sf_dir)).select(
         "source_id", "platform", "os_version", "steps_to_reproduce", "severity"
     )
 
@@ -226,7 +230,7 @@ def feature_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features(spark, sf_dir).select(
+    return _features(_labelled(spark, sf_dir)).select(
         "source_id", "feature_description", "user_impact", "demand_score"
     )
 
@@ -259,8 +263,7 @@ def _drafted(states: DataFrame) -> DataFrame:
 
 
 def _drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = _states(spark, sf_dir)
-    return _drafted(states.filter(F.col("category").isin("Bug", "Feature Request")))
+    return _drafted(_actionable(_labelled(spark, sf_dir)))
 
 
 @query
@@ -269,7 +272,7 @@ def ticket_draft(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- quality --------------------------------------------------------------------------
-def _review_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _review_cases(labelled: DataFrame) -> DataFrame:
     """Drafts, many of them damaged in one way or another."""
     def damage(purpose: str, column: str, *bad: str) -> Column:
         cases = [f"WHEN {i} THEN {literal(value)}" for i, value in enumerate([*bad])]
@@ -277,7 +280,7 @@ def _review_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"CASE {draw('key', purpose)} % 20 {' '.join(cases)} WHEN {len(bad)} THEN NULL ELSE {column} END"
         )
 
-    return _drafts(spark, sf_dir).withColumns({
+    return _drafted(_actionable(labelled)).withColumns({
         "title": damage("case_title", "title", "", " \n ", "Fix bug", " Fix it now "),
         "description": damage("case_text", "description", "", "It crashes."),
         "category": damage("case_category", "category", "", "Other", " "),
@@ -288,29 +291,29 @@ def _review_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.review(_review_cases(spark, sf_dir)).select(
+    return quality.review(_review_cases(_labelled(spark, sf_dir))).select(
         "source_id", "quality_passed", F.array_join("quality_issues", "; ").alias("issues")
     )
 
 
 @query
 def quality_review_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = rs.attach_answers(
-        _review_cases(spark, sf_dir), spine.responses(spark, sf_dir, rs.CRITIC), ["answer_critic_1"]
+    judged = rs.attach_answers(
+        _labelled(spark, sf_dir), spine.responses(spark, sf_dir, rs.CRITIC), ["answer_critic_1"]
     )
-    return quality.review_recorded(cases, F.col("answer_critic_1")).select(
+    return quality.review_recorded(_review_cases(judged), F.col("answer_critic_1")).select(
         "source_id", "quality_passed", F.array_join("quality_issues", "; ").alias("issues")
     )
 
 
 @query
 def quality_issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.issue_counts(quality.review(_review_cases(spark, sf_dir)))
+    return quality.issue_counts(quality.review(_review_cases(_labelled(spark, sf_dir))))
 
 
 @query
 def retry_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviewed = quality.review(_review_cases(spark, sf_dir))
+    reviewed = quality.review(_review_cases(_labelled(spark, sf_dir)))
     failed = (~F.col("quality_passed")).cast("int")
     return reviewed.select(
         "source_id", drafting.retry_hint(failed, F.col("quality_issues")).alias("hint")
@@ -382,15 +385,15 @@ def run_metrics_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ticket_ids.tickets(stored_run(spark, sf_dir).outcome)
+    return numbering.tickets(stored_run(spark, sf_dir).outcome)
 
 
 @query
-def ticket_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ticket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers that go on after those in use."""
     done = stored_run(spark, sf_dir)
-    more = ticket_ids.ticket_rows(done.outcome)
-    return ticket_ids.with_ticket_ids(more, ticket_ids.last_number(done.tickets)).select(
+    more = numbering.ticket_rows(done.outcome)
+    return numbering.with_ticket_ids(more, numbering.last_number(done.tickets)).select(
         "ticket_id", "source_type", "source_id"
     )
 

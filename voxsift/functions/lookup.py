@@ -2,41 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 # A key is "hot" when it holds at least 1/HOT_KEYS of all rows, so there can
 # never be more than HOT_KEYS of them, whatever the data looks like.
 HOT_KEYS = 500
 
 
-def hot_rows(counts: DataFrame, rows: str) -> DataFrame:
-    """The rows of a per-key count table whose key is hot; at most HOT_KEYS rows."""
-    total = counts.agg(F.sum(rows)).scalar()
-    return counts.filter(F.col(rows) * HOT_KEYS >= total)
+def hot_keys(counts: DataFrame, key: str, rows: str) -> list[str | None]:
+    """The hot keys of a table with the number of rows per key, at most HOT_KEYS.
+
+    One job: the total is observed while the most frequent keys are taken, and
+    all hot keys must be among the HOT_KEYS most frequent ones.
+    """
+    seen = Observation()
+    top = (
+        counts.observe(seen, F.coalesce(F.sum(rows), F.lit(0)).alias("total"))
+        .orderBy(F.desc(rows)).limit(HOT_KEYS).select(key, rows).collect()
+    )
+    total = seen.get["total"]
+    return [row[key] for row in top if row[rows] * HOT_KEYS >= total]
 
 
-def lookup_counted(
-    left: DataFrame, counts: DataFrame, key: str, rows: str, row_id: Column
+def lookup(
+    left: DataFrame, right: DataFrame, key: str, counts: DataFrame | None = None, rows: str = "n"
 ) -> DataFrame:
-    """Left join of ``left`` to a table with one row per key and its row count.
+    """Left join to a table with at most one row per key, whatever the skew.
 
-    Rows of hot keys find their entry in a broadcast table of at most HOT_KEYS
-    rows and take part in the shuffle join under a made-up key that spreads
-    them evenly and matches nothing. All other keys hold a small share each.
-    ``row_id`` is any column that differs between rows.
+    ``counts`` holds the rows of ``left`` per key; it is counted if not given.
+    Without hot keys this is a plain join. Else rows of hot keys find their
+    entry in a broadcast table of at most HOT_KEYS rows and take part in the
+    shuffle join under a made-up key that spreads them and matches nothing; so
+    do rows without a key. Every other key holds less than 1/HOT_KEYS of all
+    rows.
+
+    The made-up key depends on the partition a row comes from, so exact copies
+    are spread too, and not on the order of rows, so a repeated task sends each
+    row where the first attempt did.
     """
-    found = "__hot_" + rows
-    hot = hot_rows(counts, rows).select(
-        F.col(key).alias("__hot_key"), F.col(rows).alias(found)
+    if counts is None:
+        counts = left.groupBy(key).agg(F.count("*").alias(rows))
+    hot = hot_keys(counts, key, rows)
+    values = [c for c in right.columns if c != key]
+    entries = right.select(
+        F.col(key).alias("__key"), F.struct(*values).alias("__entry")
     )
-    spread = F.concat(F.lit("\0"), F.xxhash64(row_id).cast("string"))
-    keyed = left.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn(
-        "__join_key",
-        F.when(F.col(found).isNotNull() | F.col(key).isNull(), spread).otherwise(F.col(key)),
+    if not hot:
+        joined = left.join(entries, F.col(key) == F.col("__key"), "left")
+        return joined.select(*left.columns, "__entry.*")
+
+    is_hot = F.col(key).isNull() | F.col(key).isin([k for k in hot if k is not None])
+    spread = F.concat(F.lit("\0"), F.xxhash64(F.spark_partition_id(), F.col(key)).cast("string"))
+    hot_entries = entries.filter(F.col("__key").isin([k for k in hot if k is not None])).select(
+        F.col("__key").alias("__hot_key"), F.col("__entry").alias("__hot_entry")
     )
-    cold = counts.select(F.col(key).alias("__cold_key"), F.col(rows).alias("__cold_rows"))
     return (
-        keyed.join(cold, F.col("__join_key") == F.col("__cold_key"), "left")
-        .withColumn(rows, F.coalesce(F.col(found), F.col("__cold_rows")))
-        .drop("__hot_key", found, "__join_key", "__cold_key", "__cold_rows")
+        left.withColumn("__join_key", F.when(is_hot, spread).otherwise(F.col(key)))
+        .join(F.broadcast(hot_entries), F.col(key) == F.col("__hot_key"), "left")
+        .join(entries, F.col("__join_key") == F.col("__key"), "left")
+        .withColumn("__found", F.coalesce(F.col("__hot_entry"), F.col("__entry")))
+        .select(*left.columns, "__found.*")
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv, vocabulary as words
-from ..functions.lookup import lookup_counted
+from ..functions.lookup import lookup
+from ..functions.staging import stage
 from ..functions.text import contains_any, strip
 
 
@@ -64,12 +65,13 @@ def feature_details(items: DataFrame) -> DataFrame:
     """feature_description, user_impact and demand_score.
 
     The demand score is the phrase's number of requests in proportion to the
-    most requested phrase, from 1 to 10.
+    most requested phrase, from 1 to 10. The demand table, one row per phrase,
+    is written once because the lookup reads it several times.
     """
     asked = feature_phrases(items)
-    demand = feature_demand(asked)
+    demand = stage(feature_demand(asked), "demand")
     most = demand.agg(F.max("requests")).scalar()
-    known = lookup_counted(asked, demand, "phrase", "requests", F.col("source_id"))
+    known = lookup(asked, demand, "phrase", counts=demand, rows="requests")
     return score_demand(known.withColumn("__most", most)).drop("__most", "requests", "phrase")
 
 

@@ -7,24 +7,44 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 
 
+_NONE = "none"  # prediction of an item whose responses failed
+
+
 def confusion(predicted: DataFrame, labels: DataFrame) -> DataFrame:
-    """Items per true and predicted category; errors count as predicted 'none'."""
-    truth = labels.select("source_type", "source_id", F.col("category").alias("actual"))
-    guess = predicted.select(
-        "source_type", "source_id",
-        F.when(F.col("failed_response"), "none").otherwise(F.col("category")).alias("predicted"),
+    """Items per true and predicted category; failed ones count as 'none'.
+
+    Labels and predictions meet in one aggregation on the item id instead of a
+    join: a single shuffle, combined on the map side, so an id that occurs very
+    often is no hot spot. Items without a label are left out.
+    """
+    guesses = [*fv.CATEGORIES, _NONE]
+    guess = F.when(F.col("failed_response"), _NONE).otherwise(F.col("category"))
+    both = labels.select(
+        "source_type", "source_id", F.col("category").alias("actual"),
+        F.lit(None).cast("string").alias("predicted"),
+    ).unionByName(
+        predicted.select(
+            "source_type", "source_id", F.lit(None).cast("string").alias("actual"),
+            guess.alias("predicted"),
+        )
+    )
+    per_item = both.groupBy("source_type", "source_id").agg(
+        F.max("actual").alias("actual"),
+        *[F.count_if(F.col("predicted") == g).alias(g) for g in guesses],
     )
     return (
-        truth.join(guess, ["source_type", "source_id"])
-        .groupBy("actual", "predicted")
-        .agg(F.count("*").alias("items"))
+        per_item.filter(F.col("actual").isNotNull())
+        .groupBy("actual")
+        .agg(*[F.sum(F.col(f"`{g}`")).alias(g) for g in guesses])
+        .unpivot("actual", guesses, "predicted", "items")
+        .filter(F.col("items") > 0)
     )
 
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:
     """One row per true category, one column per prediction."""
-    wide = pairs.groupBy("actual").pivot("predicted", [*fv.CATEGORIES, "none"]).sum("items")
-    renamed = {c: c.lower().replace(" ", "_") for c in [*fv.CATEGORIES, "none"]}
+    wide = pairs.groupBy("actual").pivot("predicted", [*fv.CATEGORIES, _NONE]).sum("items")
+    renamed = {c: c.lower().replace(" ", "_") for c in [*fv.CATEGORIES, _NONE]}
     return wide.na.fill(0).select(
         "actual", *[F.col(f"`{c}`").alias(f"predicted_{name}") for c, name in renamed.items()]
     )
@@ -39,7 +59,7 @@ def per_class(pairs: DataFrame) -> DataFrame:
         )).alias("side"),
         (F.col("actual") == F.col("predicted")).alias("right"),
         "items",
-    ).filter(F.col("side.category") != "none")
+    ).filter(F.col("side.category") != _NONE)
     actual = F.col("side.is_actual")
 
     def total(test):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
+from ..functions.positions import with_positions
 from ..functions.text import strip
 
 
@@ -54,13 +55,21 @@ def unify(reviews: DataFrame, emails: DataFrame) -> DataFrame:
     return review_items(reviews).unionByName(email_items(emails))
 
 
+# up to here, the rows to keep fit into one task with ease
+_TOP_ROWS = 10_000
+
+
 def first_items(items: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` items by source type, then id; 0 or None keeps all.
 
-    Order and limit together plan as a distributed top-k, not as a full sort.
+    A small limit plans as a distributed top-k. A large one never brings its
+    rows together: they are numbered in order and cut by number.
     """
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
     if not limit:
         return items
-    return items.orderBy("source_type", "source_id", F.xxhash64("text")).limit(limit)
+    if limit <= _TOP_ROWS:
+        return items.orderBy("source_type", "source_id", F.xxhash64("text")).limit(limit)
+    numbered = with_positions(items, ["source_type", "source_id", "text"], "__number")
+    return numbered.filter(F.col("__number") <= limit).drop("__number")

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv, schemas
+from ..functions.lookup import lookup
 from ..functions.text import clamp, one_of, strip
 
 CLASSIFIER, BUG, FEATURE, DRAFT, CRITIC = "classifier", "bug", "feature", "draft", "critic"
@@ -212,5 +213,9 @@ def answers_by_item(responses: DataFrame, names: Sequence[str]) -> DataFrame:
 def attach_answers(
     items: DataFrame, responses: DataFrame, names: Sequence[str] = tuple(ANSWERS)
 ) -> DataFrame:
-    """Items with their answers; an item without any keeps null answers."""
-    return items.join(answers_by_item(responses, names), "source_id", "left")
+    """Items with their answers; an item without any keeps null answers.
+
+    Ids should be unique, but many items may share one, a blank one say; the
+    lookup spreads such items over all tasks.
+    """
+    return lookup(items, answers_by_item(responses, names), "source_id")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.staging import stage
-
-_ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
+from ..functions.positions import with_positions
 
 
 def last_number(tickets: DataFrame) -> int:
@@ -17,32 +15,13 @@ def last_number(tickets: DataFrame) -> int:
 
 
 def with_ticket_ids(tickets: DataFrame, after: int = 0) -> DataFrame:
-    """Numbers tickets after+1, after+2, .. by source type and id.
-
-    Rows are range-partitioned and sorted, and every row is written together
-    with its partition and its place in it. What a row's number is therefore
-    never depends on recomputing the sort. The offset table has one row per
-    partition, so broadcasting it is bounded by the partition count.
-    """
+    """Numbers tickets after+1, after+2, .. by source type and id."""
     order = ["source_type", "source_id", "created_at", "title"]
-    place = F.monotonically_increasing_id()
-    placed = stage(
-        tickets.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__part", F.shiftright(place, _ROW_BITS))
-        .withColumn("__row", place.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
-        "ticket-order",
-    )
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before")
-    )
-    number = F.lit(after) + F.col("__before") + F.col("__row") + 1
+    number = F.col("__number") + after
     return (
-        placed.join(F.broadcast(offsets), "__part")
+        with_positions(tickets, order, "__number")
         .withColumn("ticket_id", F.format_string(fv.TICKET_ID_FORMAT, number))
-        .drop("__part", "__row", "__before")
+        .drop("__number")
     )
 
 
