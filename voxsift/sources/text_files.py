@@ -38,8 +38,8 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def to_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Store a text source as parquet, spread over all tasks, and read it back."""
-    df.repartition().write.mode("errorifexists").parquet(path)
+    """Store a text source as parquet in evenly sized files and read it back."""
+    df.hint("rebalance").write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
