@@ -578,10 +578,10 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = new_folder(spark, "stream")
     done = triage_stream(
-        spine.items_of(arriving),
-        lambda items: routing.with_route(scoring.rule_scorer(items)).select(
-            "source_id", "category", "confidence", "route"
-        ),
+        arriving,
+        lambda orders: routing.with_route(
+            scoring.rule_scorer(spine.items_of(spine.spread(orders)))
+        ).select("source_id", "category", "confidence", "route"),
         f"{folder}/items", f"{folder}/progress",
     )
     done.awaitTermination()

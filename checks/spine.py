@@ -15,14 +15,17 @@ from voxsift.operators import responses as rs
 from voxsift.plans import generate as gen
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that is read as fewer pieces than there are cores is
-    spread first, a large one keeps its own splits."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+def spread(df: DataFrame) -> DataFrame:
+    """A frame that is read as fewer pieces than there are cores is spread over
+    all of them first; a large one keeps its own splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
 _LABEL = """CASE
     WHEN source_type = 'email' THEN CASE WHEN u < 60 THEN 'Bug' ELSE 'Feature Request' END
     WHEN u < 30 THEN 'Bug' WHEN u < 55 THEN 'Feature Request' WHEN u < 75 THEN 'Praise'

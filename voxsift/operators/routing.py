@@ -14,8 +14,8 @@ from .quality import draft_issues
 
 # attempt number -> struct<title, description>, null where the answer is unusable
 Drafter = Callable[[int], Column]
-# attempt number, title, description -> struct<passed, issues>
-Reviewer = Callable[[int, Column, Column], Column]
+# attempt number, issues found by the local rules -> struct<passed, issues>
+Reviewer = Callable[[int, Column], Column]
 
 
 def low_confidence(config: TriageConfig) -> Column:
@@ -43,16 +43,13 @@ def recorded_drafter(attempt: int) -> Column:
     return F.col(f"answer_draft_{attempt}")
 
 
-def local_reviewer(attempt: int, title: Column, description: Column) -> Column:
-    issues = draft_issues(title, description)
+def local_reviewer(attempt: int, issues: Column) -> Column:
     return F.struct((F.size(issues) == 0).alias("passed"), issues.alias("issues"))
 
 
-def recorded_reviewer(attempt: int, title: Column, description: Column) -> Column:
+def recorded_reviewer(attempt: int, issues: Column) -> Column:
     """The recorded verdict, else the local rules: a bad verdict fails no item."""
-    return F.coalesce(
-        F.col(f"answer_critic_{attempt}"), local_reviewer(attempt, title, description)
-    )
+    return F.coalesce(F.col(f"answer_critic_{attempt}"), local_reviewer(attempt, issues))
 
 
 def draft_with_retry(
@@ -65,15 +62,11 @@ def draft_with_retry(
     """
 
     def reviewed(df: DataFrame, attempt: int, needed: Column) -> DataFrame:
-        draft, verdict = f"__draft_{attempt}", f"__review_{attempt}"
-        df = df.withColumn(draft, F.when(needed, drafter(attempt)))
-        return df.withColumn(
-            verdict,
-            F.when(
-                F.col(draft).isNotNull(),
-                reviewer(attempt, F.col(draft)["title"], F.col(draft)["description"]),
-            ),
-        )
+        draft, found = F.col(f"__draft_{attempt}"), F.col(f"__issues_{attempt}")
+        made = draft.isNotNull()
+        return df.withColumn(f"__draft_{attempt}", F.when(needed, drafter(attempt))).withColumn(
+            f"__issues_{attempt}", F.when(made, draft_issues(draft["title"], draft["description"]))
+        ).withColumn(f"__review_{attempt}", F.when(made, reviewer(attempt, found)))
 
     once = reviewed(states, 1, ~F.col("failed_response"))
     again = F.coalesce(~F.col("__review_1")["passed"], F.lit(False))
@@ -94,8 +87,8 @@ def draft_with_retry(
             + F.coalesce(~F.col("__review_2")["passed"], F.lit(False)).cast("int"),
         )
         .drop(
-            "__draft_1", "__review_1", "__again", "__draft_2", "__review_2",
-            "__draft", "__review",
+            "__draft_1", "__issues_1", "__review_1", "__again", "__draft_2", "__issues_2",
+            "__review_2", "__draft", "__review",
         )
     )
 

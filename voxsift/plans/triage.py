@@ -15,7 +15,8 @@ from ..operators.drafting import priority, technical_details, with_state
 from ..operators.intake import first_items
 from ..operators.responses import ANSWERS, attach_answers
 from ..operators.scoring import Scorer, recorded_scorer, rule_scorer
-from ..operators.ticket_ids import tickets
+from ..operators.ticket_ids import last_number, tickets
+from ..sources import tables
 
 DetailStep = Callable[[DataFrame], DataFrame]
 
@@ -130,3 +131,32 @@ def run(
         log=routing.processing_log(done),
         metrics=accounting.run_metrics(done),
     )
+
+
+def run_and_store(
+    spark: SparkSession,
+    items: DataFrame,
+    folder: str,
+    run_id: str,
+    run_at: datetime,
+    responses: DataFrame | None = None,
+    steps: Steps = NATIVE,
+    config: TriageConfig = TriageConfig(),
+) -> TriageTables:
+    """Run over ``items`` and add the run to the tables under ``folder``.
+
+    Ticket numbers go on after those of all other runs. Doing the same run
+    again replaces it, so a job that was cut short can simply be repeated.
+    """
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in ("tickets", "log", "metrics")}
+    stored = tables.load_tickets(spark, paths["tickets"])
+    others = stored.filter(F.col("run_id") != run_id) if "run_id" in stored.columns else stored
+    made = run(stamp(items, run_id, run_at), responses, steps, config, last_number(others))
+    for name, path in paths.items():
+        tables.append(getattr(made, name), path)
+    return TriageTables(
+        outcome=made.outcome,
+        tickets=tables.load_tickets(spark, paths["tickets"]),
+        log=tables.load_log(spark, paths["log"]),
+        metrics=tables.load_metrics(spark, paths["metrics"]),
+    )

@@ -57,14 +57,21 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
 
 
 def append(rows: DataFrame, path: str, partition_by: Sequence[str] = ("run_id",)) -> None:
-    """Append a batch.
+    """Append the runs of a batch, each to its own partition.
 
-    The rebalance hint gives each run few files of an even size; AQE splits
-    a run that holds most of the rows instead of writing it from one task.
+    A run that is written again, after a job failed half way, replaces what it
+    wrote before. The rebalance hint gives each run few files of an even size;
+    AQE splits a run that holds most of the rows instead of writing it from
+    one task. Without ``partition_by`` rows are simply added.
     """
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    if not partition_by:
+        rows.write.mode("append").parquet(path)
+        return
+    (
+        rows.hint("rebalance", *partition_by)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by).parquet(path)
+    )
 
 
 def replace_tickets(tickets: DataFrame, folder: str) -> str:
