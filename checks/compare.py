@@ -56,6 +56,7 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, statement: str) ->
 
 
 def main(sf_dir: str, *wanted: str) -> int:
+    from voxsift.functions import staging
     from voxsift.session import build_session
 
     from .oracle import all_statements
@@ -86,6 +87,7 @@ def main(sf_dir: str, *wanted: str) -> int:
             f"{'DIFF' if problem else 'ok  '} {name:26} spark {spent:6.2f} s, "
             f"duckdb {oracle_spent:5.2f} s {problem}", flush=True,
         )
+    staging.clear(spark)
     print("all equal" if not bad else f"{bad} differ")
     return bad
 

@@ -176,21 +176,3 @@ def test_route_prefers_low_confidence_over_category(spark):
     df = spark.createDataFrame(rows, "category string, confidence double, failed_response boolean").coalesce(1)
     assert [r.route for r in routing.with_route(df).collect()] == [
         "bug", "low_confidence", "feature", "low_confidence", "end", "error"]
-
-
-def test_stored_runs_go_on_and_can_be_repeated(spark, tmp_path):
-    reviews, emails, _ = gen.generate(spark, 60, 30, seed=4)
-    items = unify(reviews, emails)
-
-    def store(run_id):
-        return triage.run_and_store(spark, items, str(tmp_path), run_id, AT)
-
-    first = store("run-1").tickets.count()
-    assert first > 0
-    both = store("run-2")
-    wanted = [f"T{i:04d}" for i in range(1, 2 * first + 1)]
-    assert sorted(r.ticket_id for r in both.tickets.collect()) == wanted
-    again = store("run-2")
-    assert sorted(r.ticket_id for r in again.tickets.collect()) == wanted
-    assert sorted(r.run_id for r in again.metrics.collect()) == ["run-1", "run-2"]
-    assert again.log.groupBy("run_id").count().select("count").distinct().count() == 1

@@ -29,8 +29,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/voxsift-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has staged, once its results are stored.
+
+    Frames that read a staged table cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
