@@ -257,9 +257,8 @@ def ticket_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _drafted(states: DataFrame) -> DataFrame:
     title, description = drafting.template_draft()
     return states.withColumns({
-        "title": title, "description": description, "priority": drafting.priority(),
-        "technical_details": drafting.technical_details(),
-    })
+        "priority": drafting.priority(), "technical_details": drafting.technical_details(),
+    }).withColumns({"title": title, "description": description})
 
 
 def _drafts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ SCHEMA = ("source_id string, source_type string, category string, text string, p
 def evaluate(spark, column, *states):
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     df = spark.createDataFrame([tuple(s.get(n) for n in names) for s in states], SCHEMA).coalesce(1)
+    df = df.withColumn("technical_details", drafting.technical_details())
     return [r[0] for r in df.select(column).collect()]
 
 

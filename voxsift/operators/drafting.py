@@ -107,7 +107,7 @@ def retry_hint(retry_count: Column, issues: Column) -> Column:
 
 
 def template_draft() -> tuple[Column, Column]:
-    """Title and description from the item's own details."""
+    """Title and description from the item's details and ``technical_details``."""
     is_bug = F.col("category") == "Bug"
     first_step = F.substring_index("steps_to_reproduce", "\n", 1)
     known_steps = unless(first_step, fv.NOT_SPECIFIED)
@@ -128,7 +128,7 @@ def template_draft() -> tuple[Column, Column]:
     ).otherwise(F.concat(F.lit("Impact "), F.col("user_impact"), F.lit(".")))
     description = F.concat(
         F.lit("**Summary:** "), summary,
-        F.lit("\n**Details:** "), technical_details(),
+        F.lit("\n**Details:** "), F.col("technical_details"),
         F.lit("\n**User Impact:** "), impact,
     )
     return F.substring(title, 1, fv.TITLE_MAX), description
