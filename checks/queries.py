@@ -19,7 +19,7 @@ from voxsift.sources import profile, tables
 from voxsift.streaming.intake_stream import triage_stream
 
 from . import spine
-from .store import MIXED, mixed_outcome, stored_run
+from .store import mixed_outcome, stored_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ALL: dict[str, Query] = {}
