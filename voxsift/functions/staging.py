@@ -6,7 +6,6 @@ instead of recomputing, and a lost executor costs no more than its own tasks.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -16,17 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Where it is unset, a local run gets a temporary folder. A cluster has no
-    use for a machine-local folder, so there it is an error.
+    Where it is unset, a folder below the warehouse, which all executors of a
+    session share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="voxsift-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/voxsift-staging"
 
 
 def _own_folder(spark: SparkSession) -> str:
