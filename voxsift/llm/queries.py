@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, token_prefix
 
 
 def tokenizer_file(name: str) -> str:
@@ -28,8 +28,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_prefix.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op5_token_counts": op5_token_counts,
 }
 
 STATEMENTS: dict[str, str] = {}
