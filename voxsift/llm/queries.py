@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_prefix
+from . import license_scan, mixing, packing, quality_rules, token_prefix
 
 
 def tokenizer_file(name: str) -> str:
@@ -28,13 +29,29 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefix.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2048)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
+    "op6_mixing": op6_mixing,
+    "op7_quality_rules": op7_quality_rules,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op6_mixing": mixing.STATEMENT}
