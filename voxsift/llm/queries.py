@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, quality_rules, token_prefix
+from . import license_scan, mixing, packing, quality_rules, simhash, token_prefix
 
 
 def tokenizer_file(name: str) -> str:
@@ -46,12 +46,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_simhash": op8_simhash,
 }
 
 STATEMENTS: dict[str, str] = {"op6_mixing": mixing.STATEMENT}
