@@ -21,6 +21,7 @@ import json
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -28,10 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _NEVER = 1 << 60
+_ASCII_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # the file's pattern for ASCII (fixed value)
 _CHUNK = re.compile(r"[^\t-\r ]+")
 # characters that str.split() takes for white space and not every library does: then only ASCII white space divides
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
-_MOST_WORDS = 400_000  # tables kept per worker; full ones are emptied and filled again
+_MOST_WORDS = 900_000  # tables kept per worker; full ones are emptied and filled again
+
+
+@cache
+def loaded(path: str) -> PrefixCounts:
+    """One per worker process, so that what it has learned serves all tasks of the worker."""
+    return PrefixCounts(path)
 
 
 class PrefixCounts:
@@ -108,11 +116,15 @@ class PrefixCounts:
 
     def _last_tokens(self, word: str, upto: int) -> tuple[list[str], list[int]]:
         """For each start of the word, of ``upto`` letters at most, that the word goes on behind: last token, count."""
-        last, count, inner, fits, longest = [""], [0], self._inner, self.fits, self._longest
+        last, count, inner, known, longest = [""], [0], self._inner, self._fits, self._longest
         for at in range(1, upto + 1):
-            for start in range(max(0, at - longest), at):
+            for start in range(at - longest if at > longest else 0, at):
                 token = word[start:at]
-                if token in inner and (start == 0 or fits(last[start], token)):
+                if token in inner:
+                    if start:
+                        fit = known.get((last[start], token))
+                        if not (self.fits(last[start], token) if fit is None else fit):
+                            continue
                     last.append(token)
                     count.append(count[start] + 1)
                     break
@@ -143,12 +155,18 @@ class PrefixCounts:
         return self._words[word]
 
     def _units(self, chunk: str) -> list[str]:
+        """The chunk's words as the library splits them, in the letters that stand for bytes."""
+        if chunk.isascii() and chunk.isprintable():  # these letters stand for themselves
+            return _ASCII_UNIT.findall(chunk.lower())
         return [unit for unit, _ in self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(chunk))]
 
     def _of_chunk(self, chunk: str) -> int:
         if len(self._chunks) > _MOST_WORDS:
             self._chunks.clear()
-        self._chunks[chunk] = total = sum(map(self._of_word, self._units(chunk)))
+        total, words = 0, self._words
+        for unit in self._units(chunk):
+            total += words[unit] if unit in words else self._of_word(unit)
+        self._chunks[chunk] = total
         return total
 
     def _parts_of(self, text: str) -> Iterator[tuple[bool, list[str]]]:
@@ -224,7 +242,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, budget: int = 2048) -> Da
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = PrefixCounts(tokenizer_path)
+        counts = loaded(tokenizer_path)
         for batch in batches:
             tokens, kept = [], []
             for value in batch.column(2):
@@ -251,7 +269,7 @@ def prefix_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = PrefixCounts(tokenizer_path)
+        counts = loaded(tokenizer_path)
         for batch in batches:
             ends, tokens = zip(*(counts.prefixes(text.as_py() or "") for text in batch.column(1)))
             kind = pa.list_(pa.int64())
