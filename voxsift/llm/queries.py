@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, quality_rules, simhash, token_prefix
+from . import license_scan, mixing, packing, quality_rules, simhash, suffix_dedup, token_prefix
 
 
 def tokenizer_file(name: str) -> str:
@@ -51,6 +51,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_license_scan": op4_license_scan,
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 STATEMENTS: dict[str, str] = {"op6_mixing": mixing.STATEMENT}
