@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, quality_rules, simhash, suffix_dedup, token_prefix
+from . import license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix
 
 
 def tokenizer_file(name: str) -> str:
@@ -55,6 +55,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = multi_index.usable(_table(spark, sf_dir, "embeddings"))
+    return multi_index.nearest(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_license_scan": op4_license_scan,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_multi_index": op10_multi_index,
 }
 
 STATEMENTS: dict[str, str] = {"op6_mixing": mixing.STATEMENT}
