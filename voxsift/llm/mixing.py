@@ -9,7 +9,7 @@ to the number of words that the source still lacks, get one copy more.
 
 A rank is never taken over a whole source: the ranking value is cut into narrow
 buckets, the words of each bucket are added up, and only the order within a
-bucket of some ten thousand rows is sorted. So a source with a third of all
+bucket of some thousand rows is sorted. So a source with a third of all
 rows is as many tasks as its buckets.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.staging import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 SALTS = 32
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix
+from . import license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix, warc
 
 
 def tokenizer_file(name: str) -> str:
@@ -29,6 +29,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_warc": op3_warc,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
@@ -71,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_multi_index": op10_multi_index,
 }
 
-STATEMENTS: dict[str, str] = {"op6_mixing": mixing.STATEMENT}
+STATEMENTS: dict[str, str] = {"op3_warc": warc.STATEMENT, "op6_mixing": mixing.STATEMENT}
