@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix, warc
+from . import html_extract, license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix, warc
 
 
 def tokenizer_file(name: str) -> str:
@@ -29,6 +29,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -66,6 +70,7 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_html_text": op2_html_text,
     "op3_warc": op3_warc,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
