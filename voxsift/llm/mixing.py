@@ -123,17 +123,15 @@ def _mix(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, seed:
 def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most_repeats: int = 3, seed: int = 11) -> DataFrame:
     """The mix itself: each row as often as it is taken, with all its columns."""
     names = docs.columns
-    numbered = docs.select(
-        F.struct(*names).alias("m_row"), F.xxhash64(F.struct(*names)).alias("m_key"), "doc_id", "text", "source"
+    rows = docs.select(
+        F.struct(*names).alias("m_row"), F.col("doc_id").alias("d_id"), F.col("source").alias("d_source"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).alias("d_size"),
     )
     taken = mix(docs, weights, most_repeats, seed)
     # equal ids draw alike, so one entry per id and size serves all rows of the id
     per_id = taken.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    joined = numbered.alias("d").join(
-        per_id.where("copies > 0").alias("t"),
-        F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
-        & (F.coalesce(F.regexp_count("d.text", F.lit(WORD)), F.lit(0)) == F.col("t.size")),
-    )
+    per_id = per_id.where("copies > 0").select("doc_id", "source", "size", "copies")
+    joined = rows.join(per_id, F.col("d_id").eqNullSafe(F.col("doc_id")) & F.col("d_source").eqNullSafe(F.col("source")) & (F.col("d_size") == F.col("size")))
     return joined.withColumn("m_n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("m_row.*")
 
 

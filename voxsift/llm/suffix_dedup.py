@@ -309,9 +309,9 @@ def _cut(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     return [(start, min(stop, size)) for start, stop in runs]
 
 
-def _with_runs(docs: DataFrame, keep_first: bool) -> DataFrame:
-    """Rows (uid, row, text) and ``s_found``, the spans of each."""
-    spans = repeated_spans(docs.select("uid", F.coalesce("text", F.lit("")).alias("text")), keep_first)
+def _with_runs(docs: DataFrame, text: str, keep_first: bool) -> DataFrame:
+    """Rows with ``uid`` and the column ``text``, and ``s_found``, the spans of each."""
+    spans = repeated_spans(docs.select("uid", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), keep_first)
     grouped = spans.groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("s_found"))
     return docs.join(grouped.withColumnRenamed("uid", "s_uid"), F.col("uid") == F.col("s_uid"), "left").drop("s_uid")
 
@@ -340,7 +340,7 @@ def digest(docs: DataFrame, keep_first: bool = False) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    rows = _with_runs(_numbered(docs.select(F.col("doc_id").cast("long"), "text")), keep_first)
+    rows = _with_runs(_numbered(docs.select(F.col("doc_id").cast("long"), "text")), "text", keep_first)
     return rows.select("doc_id", "text", "s_found").mapInArrow(
         told, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
@@ -375,10 +375,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             kept.append(b"".join([*pieces, data[at:]]).decode("utf-8", "surrogatepass"))
         return pd.Series(kept)
 
-    held = _numbered(docs.select("doc_id", "text", F.struct(*names).alias("s_row")))
-    rows = _with_runs(held, keep_first=True)
-    text = F.when(F.col("s_found").isNotNull() & F.col("text").isNotNull(), rest("text", "s_found")).otherwise(F.col("text"))
-    row = rows.withColumn("s_text", text).withColumn("s_row", F.col("s_row").withField("text", F.col("s_text")))
+    held = _numbered(docs.select("doc_id", F.struct(*names).alias("s_row")))
+    rows = _with_runs(held, "s_row.text", keep_first=True)
+    was = F.col("s_row.text")
+    rows = rows.withColumn("s_text", F.when(F.col("s_found").isNotNull() & was.isNotNull(), rest(was, "s_found")).otherwise(was))
+    changed = {name: F.col(f"s_row.{name}").alias(name) for name in names} | {"text": F.col("s_text").alias("text")}
     if "n_chars" in names:
-        row = row.withColumn("s_row", F.col("s_row").withField("n_chars", F.coalesce(F.length("s_text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)))
-    return row.select("s_row.*")
+        count = F.coalesce(F.length("s_text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("s_found").isNull(), F.col("s_row.n_chars")).otherwise(count).alias("n_chars")
+    return rows.select(*changed.values())
