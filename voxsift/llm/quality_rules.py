@@ -176,3 +176,61 @@ def keep_good(docs: DataFrame) -> DataFrame:
     )
     measured = stage(with_measures(held).drop("text"), "measures")
     return judge(measured).where("q_kept").select("q_row.*")
+
+
+def _fence_sql() -> str:
+    """Fences as long as no sketch has more than SKETCH_K values, so that it is exact."""
+    quantiles = ", ".join(
+        f"quantile_disc({name}, 0.25) FILTER (NOT base_failed) AS {name}_25, quantile_disc({name}, 0.75) FILTER (NOT base_failed) AS {name}_75"
+        for name in MARGINS
+    )
+    tables = [("own", "lang, source"), ("of_lang", "lang"), ("of_all", "")]
+    parts = ", ".join(
+        f"{name} AS (SELECT {keys + ',' if keys else ''} count(*) FILTER (NOT base_failed) AS n, {quantiles} FROM m {'GROUP BY ' + keys if keys else ''})"
+        for name, keys in tables
+    )
+
+    def value(name: str) -> str:
+        return f"CASE WHEN own.n >= {LEAST_ROWS} THEN own.{name} WHEN of_lang.n >= {LEAST_ROWS} THEN of_lang.{name} ELSE of_all.{name} END"
+
+    tests = " OR ".join(
+        f"coalesce({name} > {value(name + '_75')} + greatest({margin}::DOUBLE, {SPREAD}::DOUBLE * ({value(name + '_75')} - {value(name + '_25')})), false)"
+        for name, margin in MARGINS.items()
+    )
+    return f"""{parts}
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({tests}) AS kept
+FROM m JOIN own ON m.lang IS NOT DISTINCT FROM own.lang AND m.source IS NOT DISTINCT FROM own.source
+JOIN of_lang ON m.lang IS NOT DISTINCT FROM of_lang.lang CROSS JOIN of_all
+"""
+
+
+STATEMENT = r"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+w AS (
+  SELECT *, list_transform(range(greatest(0, len(words) - 4)), lambda i: array_to_string(words[i + 1:i + 5], ' ')) AS windows FROM d),
+o AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n
+  FROM (SELECT doc_id, unnest(windows) AS win, unnest(range(len(windows))) AS i FROM w)),
+r AS (
+  SELECT doc_id, sum(least(5, coalesce(i - before, 5)))::BIGINT AS n_repeat_words
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM o WHERE n > 1) GROUP BY doc_id),
+c AS (
+  SELECT w.doc_id, lang, source, len(words)::BIGINT AS n_words, len(lines)::BIGINT AS n_lines,
+    length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(regexp_extract_all(text, '\p{Lu}'))::BIGINT AS n_capitals
+  FROM w LEFT JOIN r USING (doc_id)),
+m AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0::DOUBLE END AS symbol_share,
+    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0::DOUBLE END AS dup_line_share,
+    CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0::DOUBLE END AS repeat_share,
+    CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0.0::DOUBLE END AS capital_share
+  FROM c),
+""" + _fence_sql()

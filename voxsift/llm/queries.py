@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_multi_index": op10_multi_index,
 }
 
-STATEMENTS: dict[str, str] = {"op3_warc": warc.STATEMENT, "op6_mixing": mixing.STATEMENT}
+STATEMENTS: dict[str, str] = {"op3_warc": warc.STATEMENT, "op6_mixing": mixing.STATEMENT, "op7_quality_rules": quality_rules.STATEMENT}
