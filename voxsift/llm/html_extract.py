@@ -153,9 +153,12 @@ def fit(pages: list[str], strength: float = PRIOR_STRENGTH, rounds: int = 60) ->
 
 def trained(pages: DataFrame, most_pages: int = TRAINING_PAGES) -> Model:
     """The model fitted to at most ``most_pages`` pages with an article, the first by a hash of page_id and url."""
-    drawn = pages.where(F.col("html").contains("<article")).select(
-        F.xxhash64("page_id", "url").alias("drawn"), "html"
-    ).orderBy("drawn", F.sha1(F.col("html").cast("binary"))).limit(most_pages)
+    drawn = pages.where(F.col("html").contains("<article")).select(F.xxhash64("page_id", "url").alias("drawn"), "html")
+    # the draws alone first: each task would send as many pages as are wanted in all
+    first = [row["drawn"] for row in drawn.select("drawn").orderBy("drawn").limit(most_pages).collect()]
+    if not first:
+        return default_model()
+    drawn = drawn.where(F.col("drawn") <= first[-1]).orderBy("drawn", F.sha1(F.col("html").cast("binary"))).limit(most_pages)
     return fit([row["html"] for row in drawn.collect()])
 
 
