@@ -13,18 +13,18 @@ from ..functions.picks import draw, fill, literal, pick, pick_by, pick_weighted
 ANCHOR = datetime(2025, 6, 1, 12, 0, 0)
 
 _REVIEW_DRAWS = [
-    "app", "tmpl", "action", "device", "os", "version", "loss", "feature", "url", "rating",
+    "app", "tmpl", "action", "device", "os", "version", "station", "feature", "part", "url", "rating",
     "platform", "date", "first", "last", "label_priority", "rest",
 ]
 _EMAIL_DRAWS = [
-    "subject", "tmpl", "action", "device", "os", "version", "loss", "feature", "section",
-    "months", "first", "last", "sender", "number", "domain", "date", "prio", "label_priority",
+    "subject", "tmpl", "action", "device", "os", "version", "station", "feature", "part",
+    "rides", "first", "last", "sender", "number", "domain", "date", "prio", "label_priority",
     "rest",
 ]
 # what the texts of both kinds draw
 TEXT_DRAWS = [
-    "tmpl", "subject", "action", "device", "os", "version", "loss", "feature", "url", "section",
-    "months", "first", "last",
+    "tmpl", "subject", "action", "device", "os", "version", "station", "feature", "url", "part",
+    "rides", "first", "last",
 ]
 
 
@@ -38,7 +38,8 @@ _SLOTS = {
     "device": pick(words.DEVICES, "d_device"),
     "os": pick(words.OS_VERSIONS, "d_os"),
     "version": pick(words.VERSIONS, "d_version"),
-    "loss": pick(words.LOSSES, "d_loss"),
+    "station": pick(words.STATIONS, "d_station"),
+    "part": pick(words.PARTS, "d_part"),
     "feature": pick(words.FEATURES, "d_feature"),
 }
 PERSON = f"concat({pick(words.FIRST_NAMES, 'd_first')}, ' ', {pick(words.LAST_NAMES, 'd_last')})"
@@ -51,8 +52,7 @@ EMAIL_BODY = fill(
     pick_by("label", words.EMAIL_BODIES, "d_tmpl"),
     {
         **_SLOTS,
-        "section": pick(words.SECTIONS, "d_section"),
-        "months": f"cast(d_months % {words.MAX_MONTHS} + 1 AS STRING)",
+        "rides": f"cast(d_rides % {words.MAX_RIDES} + 1 AS STRING)",
         "name": PERSON,
     },
 )

@@ -1,162 +1,132 @@
 """Own word lists: text templates for synthetic data and the rule lexicon.
 
-Slots are written ``{slot}`` and filled by plain replacement. A template whose
-slot has no value keeps the slot as it is.
+The synthetic product is a bicycle rental. Slots are written ``{slot}`` and
+filled by plain replacement. A template whose slot has no value keeps the slot
+as it is.
 """
 
-APP_NAMES = ["Tasklane", "Tasklane Plus", "Tasklane Mini"]
-PLATFORMS = ["Google Play", "App Store"]
-VERSIONS = ["4.0.2", "4.1.0", "4.1.5", "5.0.0", "5.0.3", "5.1.0", "5.2.1"]
-DEVICES = [
-    "Pixel 9", "Galaxy S23", "iPhone 13", "iPhone 16 Pro",
-    "Moto G84", "Nothing Phone 2", "Galaxy A35", "iPad Air",
-]
-OS_VERSIONS = [
-    "Android 11", "Android 12", "Android 14", "Android 15",
-    "iOS 15.8", "iOS 16.7", "iOS 18.1",
-]
+APP_NAMES = ["Pedalport", "Pedalport Cargo"]
+PLATFORMS = ["App Store", "Google Play"]
+VERSIONS = ["24.1", "24.3", "24.7", "25.0", "25.2"]
+DEVICES = ["Xperia 5", "Fairphone 4", "Redmi Note 12", "iPhone SE", "OnePlus 11", "Zenfone 10"]
+OS_VERSIONS = ["Android 13", "Android 14.1", "iOS 17.2", "iOS 17.6.1", "Android 10", "iOS 18"]
 ACTIONS = [
-    "sign in", "save a note", "open my calendar", "share a board",
-    "attach a photo", "sort my tasks", "change my password",
+    "unlock a bike", "end my ride", "reserve a helmet", "scan the handlebar", "top up my balance",
+    "report a flat tyre", "see the next dock", "invite a friend", "print a receipt",
 ]
-LOSSES = ["vanished", "was corrupted", "stays out of sync", "refuses to load"]
+STATIONS = ["Harbour Gate", "Old Mill", "North Bridge", "University", "Canal Street", "Fairground", "Town Hall"]
+PARTS = ["ride map", "wallet page", "trip history", "dock list"]
 FEATURES = [
-    "fingerprint unlock", "an offline queue", "multi select", "colour labels",
-    "single sign on", "lock screen widgets", "a landscape layout",
-    "saved searches", "a week planner",
-]
-SPAM_LINKS = ["short.example/win42", "chat.example/deals", "cash.example/now"]
-SECTIONS = ["Inbox", "Boards", "Account", "Reminders", "Archive", "Reports"]
-MAX_MONTHS = 23
-FIRST_NAMES = [
-    "Nora", "Idris", "Tove", "Mateo", "Anika", "Hugo", "Salma", "Kenji",
-    "Ruth", "Pavel", "Ines", "Omar", "Greta", "Luis", "Wanda", "Zoe",
+    "a child seat filter", "group rides", "rain alerts", "a day pass", "voice directions", "hill-free routes",
+    "a lost and found desk", "monthly mileage totals", "parking photos", "a watch companion", "gift vouchers",
 ]
-LAST_NAMES = [
-    "Okafor", "Lindqvist", "Haddad", "Moreau", "Petrov", "Silva", "Nakata",
-    "Weber", "Costa", "Novak", "Iyer", "Quist", "Romero", "Bauer", "Chen",
-]
-MAIL_DOMAINS = ["mail.example", "post.example", "inbox.example", "letters.example"]
+SPAM_LINKS = ["prize.example/claim", "loans.example/fast"]
+MAX_RIDES = 40
+FIRST_NAMES = ["Amara", "Bruno", "Cleo", "Dmitri", "Elif", "Farid", "Gwen", "Hana", "Ivo", "Jolanta", "Kofi", "Leena"]
+LAST_NAMES = ["Abara", "Brandt", "Castell", "Dahl", "Eriksen", "Fontaine", "Gruber", "Horvat", "Ibsen", "Jansky"]
+MAIL_DOMAINS = ["rider.example", "mailbox.example", "posthorn.example"]
 
-# text template, suggested-title subject
+# text template per category; for feature requests the matching suggested subject below
 REVIEW_TEMPLATES = {
     "Bug": [
-        "It crashes whenever I {action}. A fresh install did not help.",
-        "Unable to {action} after the newest update. It was fine last week.",
-        "Half of my data {loss} once {version} was installed. Not acceptable.",
-        "The screen freezes as soon as I {action}. I am on {device} with {os}.",
-        "All I see is an empty page when I {action}. Please repair this soon.",
-        "Reminders are broken and no longer arrive since {version} came out.",
-        "Sync error again and again in the background. Device: {device}, OS: {os}.",
+        "Stood at {station} for ten minutes. The app hangs when I {action} and the lock stays shut.",
+        "{version} on my {device}: the {part} is blank, nothing gets drawn at all.",
+        "I was charged twice because the timer kept running after I gave the bike back at {station}.",
+        "Bluetooth pairing fails on {os} as soon as I {action}.",
+        "My whole trip history disappeared overnight.",
+        "It shuts itself down each time I {action}. {device}, {os}.",
+        "The QR reader does not work in {version}; the torch button is dead as well.",
+        "Stuck on the loading wheel at {station}, the ride never ended by itself.",
+        "Wrong dock count at {station} again: the {part} says nine, there are none.",
     ],
     "Feature Request": [
-        "I would love a dark mode, the white page is hard on the eyes at night.",
-        "Please add {feature}. That would help me every single day.",
-        "It would be great to have an export to PDF, I miss that feature a lot.",
-        "Suggestion: add {feature}. Other planners offer it already.",
-        "Any plans for adding {feature}? It would make a real difference.",
+        "You could offer {feature}, then our whole family would ride.",
+        "Have you thought about people with reading glasses? Bigger buttons, perhaps.",
+        "One thing is missing: {feature}. Put it on your list!",
+        "My wish: {feature}. Even a simple version would do.",
     ],
     "Praise": [
-        "Wonderful app, works perfectly and looks tidy.",
-        "I love how {feature} turned out in {version}. Great work!",
-        "The best planner I own: fast, reliable and easy to learn.",
-        "Five stars! The people behind it really listen.",
-        "Just what I was looking for. No crashes, no errors. I recommend it.",
-        "The latest release made everything quicker. Thank you!",
+        "Smoothest rental I ever had, two taps and off you go.",
+        "Lovely bikes, friendly crew at {station}, a joy every morning.",
+        "Thumbs up for {version}, the {part} is a delight.",
+        "My commute through {station} is now the nicest part of the day.",
+        "Flawless for a year. Kudos to the mechanics!",
     ],
     "Complaint": [
-        "Far too expensive for the few things it does. Others are cheaper.",
-        "Customer support never answers. I wrote three times, no reply.",
-        "It has become so slow these days. It used to be quick.",
-        "So many ads in the free plan that it is almost unusable.",
-        "Confusing layout. Each simple task needs too many taps.",
-        "Terrible battery drain. A fifth of it is gone within the hour.",
+        "Prices went up twice this spring and the bikes got older.",
+        "The helpline kept me waiting for an hour and then hung up.",
+        "Saddles are filthy at {station}, nobody cleans them.",
+        "A deposit of fifty is a rip-off for a rusty bike.",
+        "Never a free bike near {station} before nine. Disappointing.",
+        "The {part} is a maze, my parents gave up on it.",
+        "Drains my phone to zero by noon, poor value.",
     ],
     "Spam": [
-        "Click here to win a new phone!!! {url}",
-        "EARN MONEY FROM HOME!!! Ask me about my secret income plan.",
-        "qwertz uiop haha lol xDDD",
-        "Buy followers today with promo code GROW20",
-        "This has nothing to do with the app, just check out my channel",
+        "Congratulations rider, your voucher waits at {url}",
+        "Instant loans without papers, write to {url}",
+        "asdf asdf jkl jkl",
+        "I sell used couches, message me on my page, cheap delivery",
     ],
 }
 REVIEW_SUBJECTS = {
-    "Feature Request": [
-        "Feature Request: Dark Mode", "Improvement Idea", "Feature Request: PDF Export",
-        "Feature Idea", "Feature Request",
-    ],
+    "Feature Request": ["Proposal from a rider", "Accessibility", "Missing in the app", "Wish list"],
 }
 EMAIL_SUBJECTS = {
-    "Bug": [
-        "Crash report", "Sign-in broken since the update", "Urgent: data loss",
-        "The app freezes all the time", "Locked out of my account", "Sync error",
-    ],
-    "Feature Request": [
-        "Feature request", "An idea to improve the app", "Wish for the next version",
-        "Small enhancement request", "A feature I would love",
-    ],
+    "Bug": ["Lock did not open", "Charged twice", "Ride cannot be ended", "Blank page", "Bluetooth trouble"],
+    "Feature Request": ["Proposal", "Something for your wish list", "From a daily rider", "Could you offer this?"],
 }
 EMAIL_BODIES = {
     "Bug": [
-        "Dear support,\n\nI want to report a crash, it happens each time I {action}. "
-        "My device is a {device} with {os}, app version {version}.\n\n"
-        "Steps to reproduce:\n1. Start the app\n2. Go to {section}\n3. Try to {action}\n"
-        "4. It crashes at once\n\nThis stops my work every day.\n\nKind regards\n{name}",
-        "Hello,\n\nafter the update to {version} I am unable to {action}. "
-        "Removing the app and installing it again changed nothing, still the same error.\n"
-        "Device: {device} / OS: {os}\n\nIt is urgent, please help.\n\n{name}",
-        "To the service team,\n\nmy account data {loss} after the last update, which is a bug "
-        "that costs me hours.\n\nApp version: {version}\nPlatform: {os}\nDevice: {device}\n\n"
-        "A quick fix would be welcome.\n\nBest wishes\n{name}",
+        "Customer number on file.\nPlace: {station}\nPhone: {device}, {os}, app {version}\n"
+        "Steps to reproduce:\n- walk up to a bike\n- open the {part}\n- {action}\n\nThe lock stays shut. {name}",
+        "{name} here. Yesterday at {station} the app hangs when I {action}; I had to walk home.",
+        "I was charged twice for one ride from {station}. My bank says both are final.\n\n{name}\n({os}, {version})",
+        "Since {version} the {part} is blank on my {device}. Restarting does not work either.\n\nRegards from {station}, {name}",
     ],
     "Feature Request": [
-        "Hello team,\n\nI have used the app for {months} months now. "
-        "Please add {feature}. Could that be part of a future release?\n\nThank you\n{name}",
-        "Hi,\n\na short suggestion: it would be great to have {feature}. "
-        "Other planners offer it and I would love to stay with yours.\n\n{name}",
+        "I ride {rides} times a month, mostly from {station}. You could offer {feature}.\n\n{name}",
+        "My wish: {feature}. I asked around at {station}, others agree. {name}",
+        "Have you thought about night riders? {name}, {rides} rides so far",
     ],
 }
 
 # --- rule lexicon: phrases looked up in lower-cased text ----------------------
 LEXICON = {
     "Bug": [
-        "crash", "freez", "unable to", "error", "bug", "broken", "empty page",
-        "no longer arrive", "refuses to load", "corrupted", "vanished", "out of sync",
+        "hangs", "stays shut", "blank", "charged twice", "pairing fails", "disappeared", "shuts itself down",
+        "not work", "is dead", "stuck on", "never ended", "wrong dock count", "nothing gets drawn", "kept running",
     ],
     "Feature Request": [
-        "please add", "suggestion", "would be great", "would love", "feature",
-        "adding", "request", "enhancement", "wish for",
+        "you could offer", "have you thought", "is missing:", "put it on your list", "my wish", "even a simple version",
+        "perhaps", "others agree", "times a month",
     ],
     "Praise": [
-        "wonderful", "great work", "the best", "five stars", "recommend",
-        "thank you!", "perfectly", "reliable", "i love how", "just what i", "listen",
-        "quicker",
+        "smoothest", "lovely", "a joy", "thumbs up", "delight", "nicest", "flawless", "kudos", "two taps", "friendly",
     ],
     "Complaint": [
-        "expensive", "cheaper", "never answers", "no reply", "slow", "so many ads",
-        "unusable", "confusing", "too many taps", "battery drain", "terrible",
-        "used to be",
+        "prices", "got older", "waiting", "hung up", "filthy", "nobody cleans", "rip-off", "rusty", "disappointing",
+        "never a free", "maze", "gave up", "drains", "poor value",
     ],
     "Spam": [
-        "click here", "win a", "earn money", "income", "followers", "promo code",
-        "check out my channel", "nothing to do with", "lol", "haha",
+        "congratulations", "voucher waits", "instant loans", "without papers", "asdf", "jkl", "i sell", "on my page",
+        "cheap delivery",
     ],
 }
-# "no crashes" praises; the phrase is blanked before the lookup
-NEGATED_PHRASES = r"(^|[^a-z])no (crash|bug|error|issue)[a-z]*"
+# "no hang" is no defect; the phrase is blanked before the lookup
+NEGATED_PHRASES = r"(^|[^a-z])(no|without) (hang|blank|fault|error)[a-z]*"
 
 # --- bug details ---------------------------------------------------------------
 OS_PATTERN = r"(Android|iOS) ([0-9]+(\.[0-9]+)*)"
-DEVICE_PATTERN = r"(Pixel [0-9]+|Galaxy [AS][0-9]+|iPhone [0-9]+( Pro)?|Moto G[0-9]+|Nothing Phone [0-9]+|iPad Air)"
+DEVICE_PATTERN = r"(Xperia [0-9]+|Fairphone [0-9]+|Redmi Note [0-9]+|iPhone SE|OnePlus [0-9]+|Zenfone [0-9]+)"
 STEPS_BLOCK_PATTERN = r"(?is)steps to reproduce:\s*(.*?)(\n\s*\n|\z)"
-TRIGGER_PATTERN = r"(?i)(whenever|each time|as soon as|when) i ([^.,\n]+)"
+TRIGGER_PATTERN = r"(?i)(each time|as soon as|when) i ([^.,;\n]+)"
 SEVERITY_PHRASES = [
-    ("Critical", ["data loss", "vanished", "corrupted", "locked out"]),
-    ("High", ["crash", "sign in", "sign-in", "sync", "unable to"]),
-    ("Low", ["cosmetic", "typo", "small glitch"]),
+    ("Critical", ["charged twice", "disappeared", "kept running"]),
+    ("High", ["stays shut", "shuts itself down", "never ended", "unlock"]),
+    ("Low", ["torch", "dock count"]),
 ]
 SEVERITY_OTHERWISE = "Medium"
 
 # --- feature details -----------------------------------------------------------
-FEATURE_PATTERN = r"(?i)(please add|suggestion: add|adding|great to have|would love) (an? )?([a-z][a-z -]*)"
-FEATURE_OTHERWISE = "unspecified"
+FEATURE_PATTERN = r"(?i)(you could offer|is missing:|my wish:) (an? )?([a-z][a-z -]*)"
+FEATURE_OTHERWISE = "something not named"
