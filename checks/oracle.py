@@ -62,9 +62,9 @@ def _strip(text: str) -> str:
 _SLOTS = {
     "action": _pick(words.ACTIONS, "action"), "device": _pick(words.DEVICES, "device"),
     "os": _pick(words.OS_VERSIONS, "os"), "version": _pick(words.VERSIONS, "version"),
-    "loss": _pick(words.LOSSES, "loss"), "feature": _pick(words.FEATURES, "feature"),
-    "url": _pick(words.SPAM_LINKS, "url"), "section": _pick(words.SECTIONS, "section"),
-    "months": f"({_draw('months')} % 23 + 1)::VARCHAR",
+    "station": _pick(words.STATIONS, "station"), "feature": _pick(words.FEATURES, "feature"),
+    "url": _pick(words.SPAM_LINKS, "url"), "part": _pick(words.PARTS, "part"),
+    "rides": f"({_draw('rides')} % {words.MAX_RIDES} + 1)::VARCHAR",
     "name": _pick(words.FIRST_NAMES, "first") + " || ' ' || " + _pick(words.LAST_NAMES, "last"),
 }
 _REVIEW_TEXT = _fill(_pick_by_label(words.REVIEW_TEMPLATES, "tmpl"), _SLOTS)
@@ -239,16 +239,15 @@ bugs AS (
     {_SEVERITY} AS severity
   FROM {source} WHERE {category} = 'Bug'),
 asking AS (
-  SELECT *, coalesce(nullif({_strip(f"lower(regexp_extract(text, {_q(words.FEATURE_PATTERN)}, 3))")}, ''),
-                     'unspecified') AS phrase
+  SELECT *, nullif({_strip(f"lower(regexp_extract(text, {_q(words.FEATURE_PATTERN)}, 3))")}, '') AS phrase
   FROM {source} WHERE {category} = 'Feature Request'),
-demand AS (SELECT phrase, count(*) AS requests FROM asking GROUP BY phrase),
+demand AS (SELECT phrase, count(*) AS requests FROM asking WHERE phrase IS NOT NULL GROUP BY phrase),
 scored AS (
   SELECT a.*, ceil(d.requests * 10 / (SELECT max(requests) FROM demand))::INT AS demand_score,
-    'Users ask for: ' || a.phrase AS feature_description
-  FROM asking a JOIN demand d ON a.phrase = d.phrase),
+    'Users ask for: ' || coalesce(a.phrase, {_q(words.FEATURE_OTHERWISE)}) AS feature_description
+  FROM asking a LEFT JOIN demand d ON a.phrase = d.phrase),
 wishes AS (
-  SELECT *, CASE WHEN demand_score >= 8 THEN 'High' WHEN demand_score >= 5 THEN 'Medium' ELSE 'Low' END
+  SELECT *, CASE WHEN demand_score >= 8 THEN 'High' WHEN coalesce(demand_score, 5) >= 5 THEN 'Medium' ELSE 'Low' END
     AS user_impact FROM scored)"""
 
 

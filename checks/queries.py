@@ -128,7 +128,7 @@ def parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(f"fields.{name}") for name in (
             "category", "platform", "severity", "user_impact", "title", "description"
         )],
-        F.array_join("fields.issues", "; ").alias("issues"),
+        F.array_join("issues", "; ").alias("issues"),
     )
 
 

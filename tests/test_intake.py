@@ -25,15 +25,26 @@ def items(spark):
     return spark.createDataFrame(rows, "source_id string, source_type string, text string").repartition(5)
 
 
-@pytest.mark.parametrize("top_rows", [10_000, 1])
 @pytest.mark.parametrize("limit", [1, 7, 35, 500])
-def test_limit_takes_emails_first(items, monkeypatch, top_rows, limit):
-    monkeypatch.setattr(intake, "_TOP_ROWS", top_rows)  # both ways to cut
+def test_limit_takes_emails_first(items, limit):
     got = sorted(r.source_id for r in intake.first_items(items, limit).collect())
     everything = sorted(r.source_id for r in items.collect())  # E.. before R..
     assert got == everything[:limit]
 
 
+def test_a_limit_is_a_prefix_of_the_next(spark):
+    rows = [("same", "review", f"text {i % 4}") for i in range(12)] + [(None, "review", "x"), ("z", None, None)]
+    items = spark.createDataFrame(rows, "source_id string, source_type string, text string").repartition(4)
+    before = []
+    for limit in range(1, 16):
+        now = sorted(map(str, intake.first_items(items, limit).collect()))
+        assert len(now) == min(limit, 14)
+        rest = list(now)
+        for row in before:
+            rest.remove(row)
+        before = now
+
+
 def test_limit_of_nothing_keeps_all_and_negative_fails(items):
     assert intake.first_items(items, 0).count() == 70
     assert intake.first_items(items, None).count() == 70

@@ -86,3 +86,12 @@ def test_repeated_recordings_give_one_answer(spark):
     items = spark.createDataFrame([("a", "review"), ("b", "review")], "source_id string, source_type string")
     got = {r.source_id: r.answer_classifier for r in rs.attach_answers(items, responses).collect()}
     assert got["a"].confidence == 0.9 and got["b"] is None
+
+
+def test_a_stray_field_rejects_nothing(spark):
+    raw = '{"category": "Bug", "confidence": 0.8, "issues": "none so far", "passed": "maybe", "title": [1]}'
+    df = spark.createDataFrame([("a", "classifier", 1, raw)], schemas.RESPONSES)
+    assert rs.validated(df, "classifier").first().answer.category == "Bug"
+    assert rs.rejects(df).count() == 0
+    critic = spark.createDataFrame([("a", "critic", 1, '{"passed": true, "issues": "text"}')], schemas.RESPONSES)
+    assert rs.validated(critic, "critic").first().answer is None

@@ -56,7 +56,7 @@ def test_profile_counts_logical_rows(spark, files):
     emails = text_files.read_emails(spark, str(files / "emails.csv"))
     row = profile_all({"emails": emails}).first()
     assert (row.row_count, row.column_count) == (2, 6)
-    assert row.null_values == 2  # an empty body and an empty priority
+    assert row.null_values == 1  # a priority that is not there; the quoted empty body is a text
     assert file_sizes(emails).first().bytes == len(EMAILS.encode())
 
 
@@ -65,7 +65,20 @@ def test_written_files_read_back(spark, tmp_path):
     text_files.write_text(emails, str(tmp_path / "e"), gen.EMAIL_COLUMNS)
     back = text_files.read_emails(spark, str(tmp_path / "e"))
     want = emails.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
-    want = want.withColumn("priority", F.nullif("priority", F.lit("")))
     assert sorted(back.collect()) == sorted(want.collect())
     stored = text_files.to_parquet(back, str(tmp_path / "p"))
     assert sorted(stored.collect()) == sorted(want.collect())
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("user_name,extra,review_text,review_id\nann,1,hello,A1\n", encoding="utf-8")
+    row = text_files.read_reviews(spark, str(tmp_path / "r.csv")).first()
+    assert (row.review_id, row.review_text, row.user_name, row.rating) == ("A1", "hello", "ann", None)
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    texts = [" s ", "", None, "a\nb", 'say "no"', "\t", "x,y", "null"]
+    rows = [(str(i), "s", t, "m", None, "p") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "email_id string, subject string, body string, sender_email string, timestamp string, priority string")
+    text_files.write_text(df, str(tmp_path / "e"), gen.EMAIL_COLUMNS)
+    assert {r.email_id: r.body for r in text_files.read_emails(spark, str(tmp_path / "e")).collect()} == {str(i): t for i, t in enumerate(texts)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
@@ -40,6 +42,17 @@ def run_metrics(outcome: DataFrame) -> DataFrame:
     )
 
 
+def with_empty_run(metrics: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
+    """The metrics of one run, or a row of zeros if it had no items."""
+    counts = [c for c in metrics.columns if c not in ("run_id", "run_at")]
+    named = metrics.sparkSession.range(1).select(F.lit(run_id).alias("__run"), F.lit(run_at).cast("timestamp").alias("__at"))
+    joined = named.join(metrics, F.col("__run") == F.col("run_id"), "left")  # one row each
+    return joined.select(
+        F.col("__run").alias("run_id"), F.coalesce("run_at", "__at").alias("run_at"),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+    )
+
+
 def run_succeeded(metrics: DataFrame) -> bool:
     """True if nothing failed."""
     return metrics.agg(F.coalesce(F.sum("failed"), F.lit(0)).alias("n")).first()["n"] == 0

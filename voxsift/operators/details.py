@@ -49,24 +49,23 @@ def bug_details(items: DataFrame) -> DataFrame:
 
 
 def feature_phrases(items: DataFrame) -> DataFrame:
-    """Adds ``phrase``: what the item asks for, in lower case."""
+    """Adds ``phrase``: what the item asks for, in lower case; null if it names nothing."""
     asked = strip(F.lower(_match(F.col("text"), words.FEATURE_PATTERN, 3)))
-    return items.withColumn(
-        "phrase", F.coalesce(F.nullif(asked, F.lit("")), F.lit(words.FEATURE_OTHERWISE))
-    )
+    return items.withColumn("phrase", F.nullif(asked, F.lit("")))
 
 
 def feature_demand(requests: DataFrame) -> DataFrame:
-    """Requests per phrase; a frequent phrase is combined before the shuffle."""
-    return requests.groupBy("phrase").agg(F.count("*").alias("requests"))
+    """Requests per named phrase; a frequent phrase is combined before the shuffle."""
+    return requests.filter(F.col("phrase").isNotNull()).groupBy("phrase").agg(F.count("*").alias("requests"))
 
 
 def feature_details(items: DataFrame) -> DataFrame:
     """feature_description, user_impact and demand_score.
 
     The demand score is the phrase's number of requests in proportion to the
-    most requested phrase, from 1 to 10. The demand table, one row per phrase,
-    is written once because the lookup reads it several times.
+    most requested phrase, from 1 to 10. Requests that name nothing are no
+    common wish: they have no score and count for nobody. The demand table, one
+    row per phrase, is written once because the lookup reads it several times.
     """
     asked = feature_phrases(items)
     demand = stage(feature_demand(asked), "demand")
@@ -77,15 +76,16 @@ def feature_details(items: DataFrame) -> DataFrame:
 
 def score_demand(counted: DataFrame) -> DataFrame:
     score = F.ceil(F.col("requests") * fv.DEMAND_MAX / F.col("__most")).cast("int")
+    weighed = F.coalesce("demand_score", F.lit(fv.DEMAND_DEFAULT))
     return (
         counted.withColumn("demand_score", score)
         .withColumn(
             "user_impact",
-            F.when(F.col("demand_score") >= fv.DEMAND_HIGH, F.lit("High"))
-            .when(F.col("demand_score") >= fv.DEMAND_MEDIUM, F.lit("Medium"))
+            F.when(weighed >= fv.DEMAND_HIGH, F.lit("High"))
+            .when(weighed >= fv.DEMAND_MEDIUM, F.lit("Medium"))
             .otherwise(F.lit("Low")),
         )
-        .withColumn("feature_description", F.concat(F.lit("Users ask for: "), F.col("phrase")))
+        .withColumn("feature_description", F.concat(F.lit("Users ask for: "), F.coalesce("phrase", F.lit(words.FEATURE_OTHERWISE))))
     )
 
 

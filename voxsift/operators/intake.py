@@ -55,21 +55,28 @@ def unify(reviews: DataFrame, emails: DataFrame) -> DataFrame:
     return review_items(reviews).unionByName(email_items(emails))
 
 
-# up to here, the rows to keep fit into one task with ease
-_TOP_ROWS = 10_000
-
-
 def first_items(items: DataFrame, limit: int | None) -> DataFrame:
-    """The first ``limit`` items by source type, then id; 0 or None keeps all.
+    """The first ``limit`` items by source type, id and content; 0 or None keeps all.
 
-    A small limit plans as a distributed top-k. A large one never brings its
-    rows together: they are numbered in order and cut by number.
+    One rule for every limit, so a smaller one keeps a prefix of a larger one.
+    Only the narrow keys are put in order, to find the key of the last item;
+    the items themselves are filtered by it where they are. Content counts by
+    its digest, so items that tie in everything are exact copies of each other.
     """
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
     if not limit:
         return items
-    if limit <= _TOP_ROWS:
-        return items.orderBy("source_type", "source_id", F.xxhash64("text")).limit(limit)
-    numbered = with_positions(items, ["source_type", "source_id", "text"], "__number")
-    return numbered.filter(F.col("__number") <= limit).drop("__number")
+    content = F.md5(F.to_json(F.struct("text", "metadata")).cast("binary")) if "metadata" in items.columns else F.md5(F.col("text").cast("binary"))
+    key = F.struct("source_type", "source_id", F.coalesce(content, F.lit("")).alias("content"))
+    keys = items.select(key.alias("k")).select("k.*")
+    order = ["source_type", "source_id", "content"]
+    placed = with_positions(keys, order, "__number")
+    last = placed.filter(F.col("__number") == limit).select(F.struct(*order).alias("last")).first()
+    if last is None:
+        return items
+    found = F.struct(*(F.lit(value).cast("string").alias(name) for name, value in last["last"].asDict().items()))
+    copies = placed.filter(F.struct(*order) == found).agg(F.min("__number").alias("n")).first()["n"]
+    marked = items.withColumn("__key", key)
+    before, equal = marked.filter(F.col("__key") < found), marked.filter(F.col("__key") == found)
+    return before.unionByName(equal.limit(limit - copies + 1)).drop("__key")

@@ -65,7 +65,8 @@ def _boolean(text: Column) -> Column:
 
 def parse(responses: DataFrame) -> DataFrame:
     """Adds ``well_formed``, ``fields`` (all read as text) and the converted
-    fields ``confidence``, ``demand_score`` and ``passed``; NaN is no number."""
+    fields ``confidence``, ``demand_score``, ``passed`` and ``issues``; NaN is no
+    number. What another stage's field holds never makes a response ill-formed."""
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "malformed",
@@ -86,6 +87,7 @@ def parse(responses: DataFrame) -> DataFrame:
         .withColumn("__score", _number(F.col("fields.demand_score")))
         .withColumn("demand_score", F.when(~F.isnan(score) & (score == F.floor(score)), score))
         .withColumn("passed", _boolean(F.col("fields.passed")))
+        .withColumn("issues", F.from_json("fields.issues", "array<string>"))
         .drop("json", "__confidence", "__score")
     )
 
@@ -137,7 +139,7 @@ def draft_fields() -> Column:
 
 
 def verdict_fields() -> Column:
-    passed, issues = F.col("passed"), F.col("fields.issues")
+    passed, issues = F.col("passed"), F.col("issues")
     complete = ~F.exists(issues, lambda issue: issue.isNull())
     return F.when(_all_known(passed, issues) & complete, F.struct(passed, issues))
 
@@ -157,7 +159,7 @@ def validated(responses: DataFrame, stage: str) -> DataFrame:
 
 def _bad_field(stage: str) -> Column:
     """Name of the first field that is missing or cannot be converted."""
-    converted = ("confidence", "demand_score", "passed")
+    converted = ("confidence", "demand_score", "passed", "issues")
     return F.coalesce(*[
         F.when(F.col(name if name in converted else f"fields.{name}").isNull(), F.lit(name))
         for name in _REQUIRED[stage]

@@ -109,13 +109,14 @@ def ticket_lookup(tickets: DataFrame, ticket_id: str) -> DataFrame:
 def run_history(metrics: DataFrame) -> DataFrame:
     """Runs with their success rate in percent; no rate for an empty run."""
     rate = F.round(F.col("tickets_created") * 100.0 / F.nullif("total_processed", F.lit(0)), 1)
-    return metrics.select(
+    # sorted by the full time, before it is cut to minutes
+    return metrics.orderBy("run_at", "run_id").select(
         "run_id",
         F.date_format("run_at", _MINUTES).alias("run_at"),
         "total_processed", "tickets_created", "skipped", "failed",
         "bug_count", "feature_request_count", "spam_count",
         F.concat(rate.cast("string"), F.lit("%")).alias("success_rate"),
-    ).orderBy("run_at", "run_id")
+    )
 
 
 def run_outcomes_stacked(metrics: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -145,14 +145,18 @@ def run_and_store(
 ) -> TriageTables:
     """Run over ``items`` and add the run to the tables under ``folder``.
 
-    Ticket numbers go on after those of all other runs. Doing the same run
-    again replaces it, so a job that was cut short can simply be repeated.
+    Ticket numbers go on after those of all other runs, so runs into one folder
+    must not overlap in time. Doing the same run again replaces it, also if it
+    now has no tickets, so a job that was cut short can simply be repeated. A
+    run without items leaves a metrics row of zeros.
     """
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in ("tickets", "log", "metrics")}
     stored = tables.load_tickets(spark, paths["tickets"])
     others = stored.filter(F.col("run_id") != run_id) if "run_id" in stored.columns else stored
     made = run(stamp(items, run_id, run_at), responses, steps, config, last_number(others))
+    made = replace(made, metrics=accounting.with_empty_run(made.metrics, run_id, run_at))
     for name, path in paths.items():
+        tables.drop_run(spark, path, run_id)
         tables.append(getattr(made, name), path)
     return TriageTables(
         outcome=made.outcome,

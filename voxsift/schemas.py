@@ -41,6 +41,7 @@ METRICS = _struct(
     ("skipped", _L), ("failed", _L), ("bug_count", _L), ("feature_request_count", _L),
     ("praise_count", _L), ("complaint_count", _L), ("spam_count", _L),
 )
+RUN_KEY = _struct(("run_id", _S))
 EDITS = _struct(
     ("ticket_id", _S), ("category", _S), ("priority", _S), ("title", _S),
     ("technical_details", _S),
@@ -56,6 +57,6 @@ RESPONSE_FIELDS = _struct(
     ("platform", _S), ("os_version", _S), ("steps_to_reproduce", _S), ("severity", _S),
     ("feature_description", _S), ("user_impact", _S), ("demand_score", _S),
     ("title", _S), ("description", _S),
-    ("passed", _S), ("issues", T.ArrayType(_S)),
+    ("passed", _S), ("issues", _S),
     ("malformed", _S),
 )

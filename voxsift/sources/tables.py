@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..functions.staging import stage
 
 
 def _known(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -74,12 +74,26 @@ def append(rows: DataFrame, path: str, partition_by: Sequence[str] = ("run_id",)
     )
 
 
-def replace_tickets(tickets: DataFrame, folder: str) -> str:
-    """Write an edited table as a new version and return its path.
+def drop_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Remove what a run has stored in a table that is partitioned by ``run_id``.
 
-    A table cannot be overwritten while it is read, and readers keep a whole
-    version until they switch to the new path.
+    Overwriting partitions leaves those alone that no row is written to, and a
+    repeated run may have fewer tickets than before, or none.
     """
-    path = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
-    tickets.write.mode("errorifexists").parquet(path)
-    return path
+    stored = _known(spark, path, schemas.RUN_KEY)
+    files = stored.filter(F.col("run_id") == run_id).select(F.input_file_name().alias("file")).distinct().collect()
+    for row in files:
+        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+
+
+def store_edited(tickets: DataFrame, path: str) -> None:
+    """Put edited tickets (flag ``edited``) in the place of the stored ones they come from.
+
+    Only runs with an edit are written again. They are staged first, because a
+    table cannot be overwritten while it is read; readers and later runs then
+    find them where they were.
+    """
+    runs = tickets.filter("edited").select("run_id").distinct()
+    changed = tickets.join(runs, "run_id", "left_semi").drop("edited")
+    append(stage(changed, "edited"), path)

@@ -4,25 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
 
-# Quoted bodies run over several lines and double their quotes.
+# Quoted bodies run over several lines and double their quotes. An empty text is
+# written as "" and a missing one as nothing, and read back as such.
 _OPTIONS = {
-    "header": "true", "multiLine": "true", "escape": '"',
-    "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
+_EMPTY = "\x00empty"  # what a quoted empty field is read as before it becomes ''
+
 
 def _scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Fails at once if the path does not exist.
+    """Columns by the names in the header, in any order; other columns are ignored, missing ones null.
 
-    A file with multi-line records is one task. Convert large inputs with
-    ``to_parquet`` once, one file per task, and read the table from then on.
+    Fails at once if the path does not exist. A file with multi-line records is
+    one task. Convert large inputs with ``to_parquet`` once, one file per task,
+    and read the table from then on. Unquoted nothing is null.
     """
-    return spark.read.schema(schema).options(**_OPTIONS).csv(path)
+    raw = spark.read.options(**_OPTIONS).option("nullValue", "").option("emptyValue", _EMPTY).csv(path)
+
+    def text(name: str) -> Column:
+        if name not in raw.columns:
+            return F.lit(None).cast("string")
+        return F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`"))
+
+    return raw.select(*(text(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -46,6 +57,6 @@ def to_parquet(df: DataFrame, path: str) -> DataFrame:
 def write_text(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Write only the declared columns, quoted so that ``read_*`` gets them back."""
     (
-        df.select(*columns).write.option("header", "true").option("escape", '"')
+        df.select(*columns).write.options(**_OPTIONS).option("nullValue", "").option("emptyValue", '""')
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").mode("errorifexists").csv(path)
     )
