@@ -643,7 +643,7 @@ def all_statements() -> dict[str, str]:
         "technical_details": on(_LABEL_STATES, f"SELECT source_id, {_TECH} AS technical_details FROM states"),
         "ticket_context": on(_LABEL_STATES, f"SELECT source_id, {_CONTEXT} AS context FROM states"),
         "ticket_draft": on(_DRAFTS, "SELECT source_id, title, description FROM drafts"),
-        "stage_prompts": on(_DRAFTS, prompts_statement(_CONTEXT)),
+        "stage_prompts": on(_DRAFTS, prompts_statement(_CONTEXT, f"(50 + {_draw('conf')} % 50) / 100.0::DOUBLE", _draw("case_title"))),
         # quality
         "quality_review": on(_REVIEWED, "SELECT source_id, len(issues) = 0 AS quality_passed, array_to_string(issues, '; ') AS issues FROM reviewed"),
         "quality_review_fallback": on(_REVIEWED + "," + RESPONSES, """SELECT r.source_id,

@@ -321,10 +321,15 @@ def retry_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviewed = quality.review(_drafted(_states(spark, sf_dir)))
-    return drafting.stage_prompts(
-        reviewed.withColumn("retry_count", (~F.col("quality_passed")).cast("int"))
-    )
+    """Labelled items, some stopped by a drawn confidence, some with a first title that fails."""
+    short = F.expr(f"CASE WHEN {draw('key', 'case_title')} % 20 < 3 THEN 'Fix bug' ELSE title END")
+    reviewed = quality.review(_drafted(_states(spark, sf_dir)).withColumn("title", short))
+    drawn = reviewed.withColumns({
+        "retry_count": (~F.col("quality_passed")).cast("int"),
+        "confidence": F.expr(f"(50 + {draw('key', 'conf')} % 50) / 100D"),
+        "failed_response": F.lit(False),
+    })
+    return drafting.stage_prompts(routing.with_route(drawn))
 
 
 # --- a run: routes, retries, accounting ---------------------------------------------------

@@ -77,3 +77,16 @@ def test_template_draft(spark):
     assert titles[1].startswith("Add") and len(titles[2]) == 80
     for text in evaluate(spark, description, BUG, WISH):
         assert text.startswith("**Summary:** ") and "\n**Details:** " in text and "\n**User Impact:** " in text
+
+
+def test_prompts_go_by_route_and_attempt(spark):
+    rows = [dict(BUG, source_id=i, route=route, title="Fix", description="d", priority="High", technical_details="t",
+                 retry_count=n, quality_issues=["Title too short"] if n else [])
+            for i, route, n in (("a", "bug", 0), ("b", "bug", 1), ("c", "low_confidence", 0), ("e", "error", 0))]
+    schema = ", ".join(f"{name} string" for name in rows[0] if name not in ("retry_count", "quality_issues"))
+    df = drafting.with_state(spark.createDataFrame(rows, schema + ", retry_count int, quality_issues array<string>"))
+    got = {(r.source_id, r.stage, r.attempt): r.prompt for r in drafting.stage_prompts(df).collect()}
+    first = [("classifier", 1), ("bug", 1), ("draft", 1), ("critic", 1)]
+    want = {("a", *x) for x in first} | {("b", *x) for x in [*first, ("draft", 2), ("critic", 2)]}
+    assert set(got) == want | {("c", "classifier", 1), ("e", "classifier", 1)}
+    assert "Title too short" in got["b", "draft", 2] and "Title too short" not in got["b", "draft", 1]

@@ -167,12 +167,15 @@ def _prompt(stage: str, subject: Column) -> Column:
 
 
 def stage_prompts(states: DataFrame) -> DataFrame:
-    """Requests for offline batch inference: one row per item and stage it reaches.
+    """Requests for offline batch inference: one row per item, stage it reaches and attempt.
 
-    ``states`` carries items with details, draft (title, description, priority,
-    technical_details), retry_count and quality_issues.
+    ``states`` carries items with their ``route``, details, draft (title,
+    description, priority, technical_details), retry_count and quality_issues.
+    Only the routes ``bug`` and ``feature`` go beyond classification. A failed
+    review adds second requests for draft and critic: the draft's names the
+    issues found. Rows match recorded responses by (source_id, stage, attempt).
     """
-    category = F.col("category")
+    route = F.col("route")
     source = F.concat(
         F.lit("Source: "), F.col("source_type"), F.lit(" (ID: "), F.col("source_id"),
         F.lit(")\nFeedback:\n"), F.col("text"),
@@ -181,38 +184,26 @@ def stage_prompts(states: DataFrame) -> DataFrame:
         F.concat(F.lit(f"  {name}: "), F.col(name))
         for name in [*fv.REQUIRED_FIELDS, "technical_details"]
     ])
-    actionable = category.isin("Bug", "Feature Request")
+    hint = retry_hint(F.col("retry_count"), F.col("quality_issues"))
+    actionable = route.isin("bug", "feature")
+    again = actionable & (F.col("retry_count") > 0)
+
+    def request(stage: str, attempt: int, subject: Column) -> Column:
+        return F.struct(
+            F.lit(stage).alias("stage"), F.lit(attempt).alias("attempt"), _prompt(stage, subject).alias("prompt")
+        )
+
     prompts = [
-        F.struct(F.lit("classifier").alias("stage"), _prompt("classifier", source).alias("prompt")),
-        F.when(
-            category == "Bug",
-            F.struct(F.lit("bug").alias("stage"), _prompt("bug", F.col("text")).alias("prompt")),
-        ),
-        F.when(
-            category == "Feature Request",
-            F.struct(
-                F.lit("feature").alias("stage"), _prompt("feature", F.col("text")).alias("prompt")
-            ),
-        ),
-        F.when(
-            actionable,
-            F.struct(
-                F.lit("draft").alias("stage"),
-                _prompt(
-                    "draft",
-                    F.concat(
-                        context_block(), retry_hint(F.col("retry_count"), F.col("quality_issues"))
-                    ),
-                ).alias("prompt"),
-            ),
-        ),
-        F.when(
-            actionable,
-            F.struct(F.lit("critic").alias("stage"), _prompt("critic", ticket).alias("prompt")),
-        ),
+        request("classifier", 1, source),
+        F.when(route == "bug", request("bug", 1, F.col("text"))),
+        F.when(route == "feature", request("feature", 1, F.col("text"))),
+        F.when(actionable, request("draft", 1, context_block())),
+        F.when(actionable, request("critic", 1, ticket)),
+        F.when(again, request("draft", 2, F.concat(context_block(), hint))),
+        F.when(again, request("critic", 2, ticket)),
     ]
     return (
         states.select("source_id", rows_of(F.array(*prompts)).alias("p"))
         .filter(F.col("p").isNotNull())
-        .select("source_id", "p.stage", "p.prompt")
+        .select("source_id", "p.stage", "p.attempt", "p.prompt")
     )
