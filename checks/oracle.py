@@ -600,6 +600,7 @@ def all_statements() -> dict[str, str]:
         "normalize_emails": on(RAW, "SELECT * FROM emails"),
         "unified_items": on(RAW, "SELECT * FROM unified"),
         "items_limit": on(RAW, "SELECT source_id, source_type, text FROM unified ORDER BY source_type, source_id LIMIT 300"),
+        "items_limit_large": on(ITEMS, "SELECT source_id, source_type, text FROM items ORDER BY source_type, source_id LIMIT 12000"),
         "input_profile": on(RAW, " UNION ALL ".join([
             _profile("reviews", "raw_reviews", ["review_id", "app_name", "review_text", "rating", "platform", "app_version", "date", "user_name"]),
             _profile("emails", "raw_emails", ["email_id", "subject", "body", "sender_email", "timestamp", "priority"]),

@@ -73,6 +73,11 @@ def items_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.first_items(_unified(spark, sf_dir), 300).select("source_id", "source_type", "text")
 
 
+@query
+def items_limit_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intake.first_items(spine.items(spark, sf_dir), 12_000).select("source_id", "source_type", "text")
+
+
 @query
 def input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_all({
