@@ -1,7 +1,7 @@
 """Licence scan: ordered signature rules behind a keyword prefilter, with containment suppression.
 
-A text is brought to lower-case words once. Texts without any of a few roots
-are left out at once, and a rule is tried only where its keyword occurs; a match is an interval of words. A match is suppressed if one of
+A text is brought to lower-case words once. Each keyword is looked for once, and
+the rules that share it are tried only where it occurs; a match is an interval of words. A match is suppressed if one of
 the same or a better rank contains its interval (equal intervals and ranks: the
 earlier rule stays). Sorted by start, that needs no more than the furthest end
 of each rank so far, so a text with many matches costs one sort.
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .license_rules import BASE, ROOTS, Rule, rules
+from .license_rules import BASE, Rule, rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,8 +55,8 @@ def with_matches(docs: DataFrame, text_col: str = "text", table: list[Rule] | No
     """Add ``l_words`` (number of words), ``l_base`` and ``l_found``.
 
     ``l_base`` are the places of the base phrases: (label, from). ``l_found`` are
-    all matches before suppression, sorted: (from, upto, rank, rule, label). Both
-    are null where none of ROOTS occurs. A null text has no words.
+    all matches before suppression, sorted: (from, upto, rank, rule, label). A null
+    text has no words.
     """
     table = rules() if table is None else table
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -69,21 +69,21 @@ def with_matches(docs: DataFrame, text_col: str = "text", table: list[Rule] | No
     blank = F.col("l_text") == "  "
     n_words = F.length("l_text") - F.length(F.replace("l_text", F.lit(" "), F.lit(""))) - 1
     df = df.withColumn("l_words", F.when(blank, 0).otherwise(n_words).cast("long"))
-    rooted = reduce(Column.__or__, (F.contains("l_text", F.lit(root)) for root in ROOTS))
-    df = df.withColumn("l_text", F.when(rooted, F.col("l_text")))
     phrases = reduce(Column.__or__, (F.contains("l_text", F.lit(f" {phrase} ")) for phrase in BASE))
     places = [_places(F.col("l_text"), phrase, label) for phrase, label in BASE.items()]
     df = df.withColumn("l_base", F.when(phrases, F.concat(*places)))
-    listed = F.array(*(
-        F.struct(F.lit(n).alias("rule"), F.lit(r.rank).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"))
-        for n, r in enumerate(table)
-    )) if table else F.array()
-    passed = F.filter(listed, lambda r: F.contains("l_text", r["keyword"]))
+    groups: dict[str, list[Column]] = {}
+    for n, r in enumerate(table):
+        groups.setdefault(r.keyword, []).append(F.struct(
+            F.lit(n).alias("rule"), F.lit(r.rank).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern")
+        ))
+    listed = F.array(*(F.struct(F.lit(keyword).alias("keyword"), F.array(*group).alias("rules")) for keyword, group in groups.items()))
+    passed = F.flatten(F.transform(F.filter(listed, lambda g: F.contains("l_text", g["keyword"])), lambda g: g["rules"]))
     found = F.flatten(F.transform(passed, lambda r: F.transform(
         _intervals(F.col("l_text"), r["pattern"]),
         lambda x: F.struct(x["from"].alias("from"), (-x["upto"]).alias("minus_upto"), r["rank"].alias("rank"), r["rule"].alias("rule"), r["label"].alias("label")),
     )))
-    df = df.withColumn("l_found", F.when(F.col("l_text").isNotNull(), F.array_sort(found)) if table else F.lit(None))
+    df = df.withColumn("l_found", F.array_sort(found) if table else F.lit(None))
     return df.drop("l_text")
 
 
