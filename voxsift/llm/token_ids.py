@@ -3,8 +3,9 @@
 The ids are those that ``tokenizers`` gives. Its own encoder takes four times as
 long as ``tiktoken``'s with the same vocabulary, so the merge ranks are read from
 the ``tokenizers`` file and ``tiktoken`` applies them; a text that holds one of
-the file's special strings goes to ``tokenizers`` itself. tests/llm/test_packing.py
-holds both against each other.
+the file's special strings goes to ``tokenizers`` itself, as does a text that
+``tiktoken`` refuses (it cannot match a run of a million white-space characters).
+tests/llm/test_packing.py holds both against each other.
 """
 
 from __future__ import annotations
@@ -43,6 +44,9 @@ class TextIds:
         self._encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if any(mark in text for mark in self._special):
-            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        if not any(mark in text for mark in self._special):
+            try:
+                return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            except ValueError:  # its pattern gives up on the text
+                pass
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
