@@ -65,6 +65,11 @@ LAYOUTS = {
     "<article><h1>T</h1><div class=\"ad\">Buy now, please.</div><p>Body, of it.</p><script>var x='<p>no</p>'</script>"
     "<style>p{}</style><!-- <p>no</p> --><p>End &#x41;&nbsp;&lt;b&gt;.</p></article>": "T\nBody, of it.\nEnd A <b>.",
     "<article><p>un<b>closed <i>tags</b> here.<p title='a>b'>Second, one.": "unclosed tags here.\nSecond, one.",
+    '<article><p>One, of it.</p><svg-icon name="x"></svg-icon><p>Two is the text.</p></article>': "One, of it.\nTwo is the text.",
+    '<article><title-bar></title-bar><style-guide></style-guide><p>One, of it.</p><template-x></template-x><p>Two is the text.</p></article>':
+        "One, of it.\nTwo is the text.",
+    '<article><p>One, of it.</p><svg class="i"/><p>Two <svg/>is <SVG d="a>b" />the text.</p><svg class="i"><text>no</text><path/></svg><p>Three, too.</p></article>':
+        "One, of it.\nTwo is the text.\nThree, too.",
     "": "", "   ": "", "<nav>only</nav>": "", "<": "",
 }
 

@@ -8,9 +8,11 @@ import re
 from typing import NamedTuple
 
 # A tag whose quotes are closed may hold ">" in them; otherwise it ends at the first ">".
+# Of the elements whose content is left out, svg alone may close itself.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/>])(?:[^<>\"']*(?:\"[^\"]*\"|'[^']*'))*[^<>\"']*/>"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^<>\"']*(?:\"[^\"]*\"|'[^']*'))*[^<>\"']*|[^>]*)>"
     r"|<[!?/][^>]*>",
     re.IGNORECASE | re.DOTALL,
