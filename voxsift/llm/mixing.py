@@ -70,10 +70,11 @@ def mix(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         weight.alias("m_weight"),
     )
-    return _mix(stage(narrow, "sizes"), weights, most_repeats, seed)
+    return _mix(_ranked(stage(narrow, "sizes"), weights, most_repeats, seed, weighted=weight_col is not None))
 
 
-def _mix(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, seed: int) -> DataFrame:
+def _ranked(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, seed: int, weighted: bool) -> DataFrame:
+    """Add the whole copies, the rank and the bucket of each row."""
     per_source = narrow.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m_weight")).alias("m_weighted")
     )
@@ -97,9 +98,13 @@ def _mix(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, seed:
     rows = rows.select("*", whole.alias("m_whole"), rank.alias("m_rank"))
     # documents that could take one more copy but have no part left come after all others
     rows = rows.withColumn("m_rank", F.when(F.col("m_rank").isNull() & (F.col("m_whole") < most_repeats) & (F.col("size") > 0), odds(F.col("m_u")) * 1e18).otherwise(F.col("m_rank")))
-    spot = F.floor(F.col("m_rank") / (1.0 + F.col("m_rank")) * float(buckets)).cast("long")
-    rows = rows.withColumn("m_bucket", F.coalesce(F.least(spot, F.lit(buckets - 1)), F.pmod(F.xxhash64("doc_id"), F.lit(max(1, buckets))) - buckets))
+    # with equal weights the rank of a source rises with the draw, which is even
+    place = F.col("m_rank") / (1.0 + F.col("m_rank")) if weighted else F.when(F.col("m_rank").isNotNull(), F.col("m_u"))
+    spot = F.floor(place * float(buckets)).cast("long")
+    return rows.withColumn("m_bucket", F.coalesce(F.least(spot, F.lit(buckets - 1)), F.pmod(F.xxhash64("doc_id"), F.lit(max(1, buckets))) - buckets))
 
+
+def _mix(rows: DataFrame) -> DataFrame:
     sums = rows.groupBy("source", "m_bucket").agg(
         F.sum(F.when(F.col("m_bucket") >= 0, F.col("size")).otherwise(0)).alias("m_words"),
         F.sum(F.col("size") * F.col("m_whole")).alias("m_certain"), F.max("target").alias("m_target"),
