@@ -264,6 +264,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the pages, read them back, and tell per page what the archive says.
 
     page_id, payload_bytes, payload_digest, record_type and refers_to; an empty table gives an empty one.
+    Rows that ``write`` gives no record (null and repeated page_ids) are missing.
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
