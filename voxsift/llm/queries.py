@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, license_scan, mixing, multi_index, packing, quality_rules, simhash, suffix_dedup, token_prefix, warc
+from . import (
+    html_extract, license_scan, mixing, multi_index, packing, periodic_runs, quality_rules, simhash,
+    suffix_dedup, token_prefix, warc,
+)
 
 
 def tokenizer_file(name: str) -> str:
@@ -68,6 +71,10 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.with_planted_repeats(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_multi_index": op10_multi_index,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 STATEMENTS: dict[str, str] = {"op3_warc": warc.STATEMENT, "op6_mixing": mixing.STATEMENT, "op7_quality_rules": quality_rules.STATEMENT}
