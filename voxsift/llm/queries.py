@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    html_extract, license_scan, mixing, multi_index, packing, periodic_runs, quality_rules, simhash,
-    suffix_dedup, token_prefix, warc,
+    hard_negatives, html_extract, license_scan, mixing, multi_index, packing, periodic_runs, quality_rules, simhash,
+    suffix_dedup, token_prefix, toxicity, warc,
 )
 
 
@@ -71,6 +71,17 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", turned)
+    return hard_negatives.hard_negatives(hard_negatives.usable(rows), anchors="id % 50 = 0")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(periodic_runs.with_planted_repeats(_table(spark, sf_dir, "documents")))
 
@@ -86,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_multi_index": op10_multi_index,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
