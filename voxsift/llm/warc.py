@@ -29,7 +29,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.staging import new_folder, stage
@@ -47,8 +47,9 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int) -> str:
-    return f"urn:warc-record:page-{page_id}"
+def record_id(page_id: int | None, distinct: str) -> str:
+    """Rows may share a page_id or have none, so an id has a second part that tells them apart."""
+    return f"urn:warc-record:page-{'none' if page_id is None else page_id}:{distinct}"
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -77,11 +78,11 @@ def _record(kind: str, block: bytes, fields: list[tuple[str, object]]) -> bytes:
     return b"WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in named).encode() + b"\r\n" + block
 
 
-def segments(page_id: int, url: str, payload: bytes, size: int = SEGMENT_BYTES) -> list[bytes]:
-    """The response record of a page and its continuation records."""
+def segments(own: str, url: str, payload: bytes, size: int = SEGMENT_BYTES) -> list[bytes]:
+    """The response record with the id ``own`` and its continuation records."""
     block = _HTTP + chunked(payload)
     parts = [block[at:at + size] for at in range(0, len(block), size)]
-    own, digest = record_id(page_id), base32_sha1(payload)
+    digest = base32_sha1(payload)
     fields = [("WARC-Record-ID", f"<{own}>"), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if len(parts) == 1:
         return [_record("response", block, fields)]
@@ -94,11 +95,11 @@ def segments(page_id: int, url: str, payload: bytes, size: int = SEGMENT_BYTES)
     return told
 
 
-def revisit(page_id: int, url: str, digest: str, refers_to: int) -> bytes:
+def revisit(own: str, url: str, digest: str, refers_to: str) -> bytes:
     return _record("revisit", b"", [
-        ("WARC-Record-ID", f"<{record_id(page_id)}>"), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"),
+        ("WARC-Record-ID", f"<{own}>"), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-        ("WARC-Refers-To", f"<{record_id(refers_to)}>"),
+        ("WARC-Refers-To", f"<{refers_to}>"),
     ])
 
 
@@ -135,43 +136,62 @@ def parse(data: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
+def _row_key() -> Column:
+    """A row among all: its page_id, payload, and number where these two repeat."""
+    return F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "sha", F.col("row").cast("string"))
+
+
 def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     """Write a record for each page (page_id, url, html) below the folder.
 
     A null html is an empty payload, a null url an empty one. Line ends in an
     url would break a header and become blanks. Payloads of fewer than
-    ``least_bytes`` bytes are never revisits. Rows with a null page_id get no record; of rows with the
-    same page_id the one with the largest payload, then url, is written.
+    ``least_bytes`` bytes are never revisits. Every row gets a record of its own,
+    also rows with a null page_id (which counts as the smallest) or with one that
+    others have as well; of equal payloads with the same page_id one is the response.
     """
-    pages = pages.where("page_id IS NOT NULL").select(
+    pages = pages.select(
         F.col("page_id").cast("long"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", " ").alias("url"),
-        F.coalesce("html", F.lit("")).alias("html"),
+        F.coalesce("html", F.lit("")).alias("html"), F.lit(0).cast("long").alias("row"),
     )
-    narrow = stage(pages.select("page_id", F.sha1(F.col("html").cast("binary")).alias("sha"), F.octet_length("html").alias("n")), "digests")
-    if narrow.groupBy("page_id").count().where("count > 1").limit(1).count():
-        best = F.max(F.struct(F.octet_length("html").alias("n"), "html", "url"))
-        pages = pages.groupBy("page_id").agg(best.alias("b")).select("page_id", "b.url", "b.html")
-        narrow = stage(pages.select("page_id", F.sha1(F.col("html").cast("binary")).alias("sha"), F.octet_length("html").alias("n")), "digests")
-    groups = narrow.where(F.col("n") >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
+    sha = F.sha1(F.col("html").cast("binary"))
+
+    def digests(rows: DataFrame) -> DataFrame:
+        return stage(rows.select("page_id", "row", sha.alias("sha"), F.octet_length("html").alias("n")), "digests")
+
+    narrow = digests(pages)
+    if narrow.groupBy("page_id", "sha").count().where("count > 1").limit(1).count():
+        # rows that nothing tells apart are numbered, once and for all
+        pages = stage(pages.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        narrow = digests(pages)
+    place = F.struct(F.coalesce(F.col("page_id"), F.lit(-(1 << 63))).alias("order"), "page_id", "row")
+    groups = narrow.where(F.col("n") >= least_bytes).groupBy("sha").agg(F.max(place).alias("head"), F.count("*").alias("copies"))
     # one entry per payload that occurs again, once for each salt
     entries = groups.where("copies > 1").select(
-        F.col("sha").alias("e_sha"), "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("e_salt")
+        F.col("sha").alias("e_sha"), "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("e_salt")
     )
-    salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS))
+    salt = F.pmod(F.xxhash64("page_id", "row"), F.lit(SALTS))
     again = narrow.where(F.col("n") >= least_bytes).join(entries, (F.col("sha") == F.col("e_sha")) & (salt == F.col("e_salt")))
-    again = again.where("page_id != refers_to").select(F.col("page_id").alias("a_id"), "refers_to")
-    planned = pages.join(again, F.col("page_id") == F.col("a_id"), "left").select("page_id", "url", "html", "refers_to")
+    again = again.where(~(F.col("page_id").eqNullSafe(F.col("head.page_id")) & (F.col("row") == F.col("head.row"))))
+    again = again.select(_row_key().alias("a_key"), F.col("head.page_id").alias("refers_to"), F.lit(True).alias("again"))
+    keyed = pages.withColumn("sha", sha)
+    planned = keyed.join(again, _row_key() == F.col("a_key"), "left").select(
+        "page_id", "url", "html", "refers_to", F.coalesce("again", F.lit(False)).alias("again"), F.monotonically_increasing_id().alias("place"),
+    )
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, held = [], 0
-            for page_id, url, html, refers_to in zip(*batch.columns):
+            for page_id, url, html, refers_to, again, place in zip(*batch.columns):
                 payload = html.as_py().encode("utf-8", "surrogatepass")
                 page_id, url, refers_to = page_id.as_py(), url.as_py(), refers_to.as_py()
-                if refers_to is None:
-                    made = segments(page_id, url, payload)
+                digest = base32_sha1(payload)
+                if again.as_py():
+                    made = [revisit(record_id(page_id, f"row-{place.as_py()}"), url, digest, record_id(refers_to, f"sha1-{digest}"))]
+                elif len(payload) < least_bytes:
+                    made = segments(record_id(page_id, f"row-{place.as_py()}"), url, payload)
                 else:
-                    made = [revisit(page_id, url, base32_sha1(payload), refers_to)]
+                    made = segments(record_id(page_id, f"sha1-{digest}"), url, payload)
                 out += made
                 held += sum(map(len, made))
                 if held > 8 << 20:
@@ -187,18 +207,23 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the archives below a folder, as the fields that reassembly needs."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = re.compile(r"page-(-?\d+)")
+        named = re.compile(r"page-(?:none|(-?\d+)):")
+
+        def page(own: str | None) -> int | None:
+            found = named.search(own)[1] if own else None
+            return int(found) if found else None
+
         for batch in batches:
             for content in batch.column(0):
                 rows = []
                 for fields, block in parse(_unzipped(content.as_py())):
                     own, refers = fields["WARC-Record-ID"], fields.get("WARC-Refers-To")
                     rows.append((
-                        fields["WARC-Type"], int(number.search(own)[1]), fields.get("WARC-Target-URI"),
+                        fields["WARC-Type"], page(own), fields.get("WARC-Target-URI"),
                         fields.get("WARC-Segment-Origin-ID", own), int(fields["WARC-Segment-Number"]) if "WARC-Segment-Number" in fields else None,
                         int(fields["WARC-Segment-Total-Length"]) if "WARC-Segment-Total-Length" in fields else None,
                         fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None,
-                        int(number.search(refers)[1]) if refers else None, block,
+                        page(refers), block,
                     ))
                 kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary())
                 columns = list(zip(*rows)) or [()] * len(kinds)
@@ -222,7 +247,7 @@ def _unzipped(data: bytes) -> Iterator[bytes]:
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to): the logical records; revisits have a null payload.
+    """(page_id, url, payload, digest, refers_to, kind): the logical records; revisits have a null payload.
 
     An error if segments are missing or repeated, or if their length is not
     the announced one, or if the digest does not fit.
@@ -230,18 +255,18 @@ def reassemble(records: DataFrame) -> DataFrame:
     one, several = records.where("number IS NULL"), records.where("number IS NOT NULL")
     parts = several.groupBy("origin").agg(
         F.array_sort(F.collect_list(F.struct("number", "body"))).alias("parts"), F.max("total").alias("total"),
-        F.max(F.when(F.col("number") == 1, F.struct("page_id", "url", "digest"))).alias("head"),
+        F.max(F.when(F.col("number") == 1, F.struct("page_id", "url", "digest", "kind"))).alias("head"),
     )
     whole = one.select(
         "page_id", "url", "digest", "refers_to", F.array(F.struct(F.lit(1).alias("number"), "body")).alias("parts"), F.lit(None).cast("long").alias("total"),
-        F.lit(False).alias("cut"),
+        F.lit(False).alias("cut"), "kind",
     ).unionByName(parts.select("head.*", F.lit(None).cast("long").alias("refers_to"), "parts", "total", F.lit(True).alias("cut")))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payloads = []
-            for page_id, digest, refers_to, parts, total, cut in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6))):
-                if refers_to is not None:
+            for page_id, digest, parts, total, cut, kind in zip(*(batch.column(k).to_pylist() for k in (0, 2, 4, 5, 6, 7))):
+                if kind == "revisit":
                     payloads.append(None)
                     continue
                 block = b"".join(part["body"] for part in parts)
@@ -254,33 +279,35 @@ def reassemble(records: DataFrame) -> DataFrame:
                     raise ValueError(f"the payload of page {page_id} does not have its digest")
                 payloads.append(payload)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(payloads, pa.binary()), *batch.columns[2:4]], names=["page_id", "url", "payload", "digest", "refers_to"]
+                [*batch.columns[:2], pa.array(payloads, pa.binary()), *batch.columns[2:4], batch.column(7)],
+                names=["page_id", "url", "payload", "digest", "refers_to", "kind"],
             )
 
-    return whole.mapInArrow(decode, "page_id long, url string, payload binary, digest string, refers_to long")
+    return whole.mapInArrow(decode, "page_id long, url string, payload binary, digest string, refers_to long, kind string")
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the pages, read them back, and tell per page what the archive says.
 
-    page_id, payload_bytes, payload_digest, record_type and refers_to; an empty table gives an empty one.
-    Rows that ``write`` gives no record (null and repeated page_ids) are missing.
+    page_id, payload_bytes, payload_digest, record_type and refers_to; a row for each row, whatever its page_id;
+    an empty table gives an empty one.
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
     write(pages, folder)
-    found = reassemble(read_records(spark, folder)).select("page_id", F.octet_length("payload").cast("long").alias("n"), "digest", "refers_to")
-    found = stage(found, "records")
-    responses = found.where("refers_to IS NULL")
-    # a response that many revisits refer to is met by each of its salts
-    wanted = found.where("refers_to IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    referred = wanted.select(F.col("refers_to").alias("r_id")).distinct()
-    entries = responses.join(referred, F.col("page_id") == F.col("r_id")).select(
-        "r_id", F.col("n").alias("r_n"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("r_salt")
+    found = reassemble(read_records(spark, folder)).select(
+        "page_id", F.octet_length("payload").cast("long").alias("n"), "digest", "refers_to", "kind"
     )
-    told = wanted.join(entries, (F.col("refers_to") == F.col("r_id")) & (F.col("salt") == F.col("r_salt")), "left")
-    columns = lambda n, kind: ("page_id", n.alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.lit(kind).alias("record_type"), "refers_to")
-    return responses.select(*columns(F.col("n"), "response")).unionByName(told.select(*columns(F.col("r_n"), "revisit")))
+    found = stage(found, "records")
+    responses = found.where("kind = 'response'")
+    # the response that many revisits refer to is met by each of its salts; it has their payload's digest
+    wanted = found.where("kind = 'revisit'").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    referred = wanted.select(F.col("digest").alias("r_digest")).distinct()
+    sizes = responses.join(referred, F.col("digest") == F.col("r_digest")).groupBy("r_digest").agg(F.max("n").alias("r_n"))
+    entries = sizes.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = wanted.join(entries, (F.col("digest") == F.col("r_digest")) & (F.col("salt") == F.col("r_salt")), "left")
+    columns = lambda n: ("page_id", n.alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+    return responses.select(*columns(F.col("n"))).unionByName(told.select(*columns(F.col("r_n"))))
 
 
 STATEMENT = """
@@ -290,12 +317,13 @@ WITH p AS (
 b AS (
   SELECT *, list_reduce(list_prepend('', list_transform(range(20), lambda i:
     lpad(bin(('0x' || substr(hex, 2 * i + 1, 2))::INTEGER), 8, '0'))), lambda a, x: a || x) AS bits,
-    max(page_id) OVER (PARTITION BY html) AS low FROM p)
+    max(page_id) OVER (PARTITION BY html) AS low,
+    row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place FROM p)
 SELECT page_id, n AS payload_bytes,
   list_reduce(list_prepend('', list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + list_sum(list_transform(range(5), lambda k: substr(bits, 5 * i + k + 1, 1)::INTEGER * (16 >> k)))::INTEGER, 1))), lambda a, x: a || x)
     AS payload_digest,
-  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> low THEN low END AS refers_to
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN low END AS refers_to
 FROM b
 """
