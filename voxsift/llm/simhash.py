@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.staging import stage
 from .components import components
@@ -59,15 +60,23 @@ def fingerprint(text: str, words_in_shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long. Null and empty texts have 0."""
+def with_fingerprints(rows: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
+    """The column ``text`` gives way to ``fp``: its 64 bits as a signed long. Null and empty texts have 0."""
+    kept = [field for field in rows.schema if field.name != "text"]
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py() or "", words_in_shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py() or "", words_in_shingle) for t in batch.column(len(kept))], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(kept)], pa.array(found.view(np.int64))], names=[*batch.schema.names[:len(kept)], "fp"]
+            )
+
+    return rows.select(*(f.name for f in kept), "text").mapInArrow(take, StructType([*kept, StructField("fp", LongType())]))
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(take, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) of every row."""
+    return with_fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), words_in_shingle)
 
 
 def _variants() -> list[tuple[int, int, int]]:
@@ -193,26 +202,42 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFra
     there is no other. An empty table gives an empty one.
     """
     taken = stage(fingerprints(docs, words_in_shingle), "fingerprints")
-    nodes = stage(taken.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "nodes")
+    entries = _classes(taken, "doc_id", "component")
+    joined = _with_class(taken, entries, F.xxhash64("doc_id"))
+    return joined.select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _classes(taken: DataFrame, smallest: Column | str, name: str) -> DataFrame:
+    """(e_fp, ``name``): for each fingerprint that is shared or linked, the smallest value in its class."""
+    nodes = stage(taken.groupBy("fp").agg(F.min(smallest).alias("low"), F.count("*").alias("n")), "nodes")
     roots = components(near_links(nodes)).select(F.col("node").alias("x"), "root")
     # only what shares its fingerprint or has links needs an entry
     classes = nodes.join(roots, F.col("fp") == F.col("x"), "left").where("n > 1 OR root IS NOT NULL").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
-    lows = classes.groupBy("root").agg(F.min("low").alias("component"))
-    entries = classes.join(lows, "root").select(F.col("fp").alias("e_fp"), "component")
+    lows = classes.groupBy("root").agg(F.min("low").alias(name))
+    return classes.join(lows, "root").select(F.col("fp").alias("e_fp"), name)
+
+
+def _with_class(taken: DataFrame, entries: DataFrame, spread: Column) -> DataFrame:
+    """Rows with the entry of their fingerprint, if it has one; a fingerprint that many rows share is met by each of its salts."""
     entries = entries.withColumn("e_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = taken.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(entries, (F.col("fp") == F.col("e_fp")) & (F.col("salt") == F.col("e_salt")), "left")
-    return joined.select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
+    salted = taken.withColumn("salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
+    return salted.join(entries, (F.col("fp") == F.col("e_fp")) & (F.col("salt") == F.col("e_salt")), "left").drop("salt", "e_salt", "e_fp")
+
 
+def keep_one(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
+    """Of each group of near copies one row, with all its columns.
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each group the row with the smallest doc_id, with all its columns; rows without a doc_id stay."""
-    judged = stage(near_duplicates(docs), "judged")
-    lost = judged.where("doc_id != component_id").select(F.col("doc_id").alias("lost_id")).distinct()
-    kept = docs.join(lost, F.col("doc_id") == F.col("lost_id"), "left_anti")
-    repeated = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return kept.where("doc_id IS NULL").unionByName(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    It is the one with the smallest doc_id, null last. Rows are told apart by a
+    number of their own, never by doc_id, so different texts with one id both
+    stay, and of exact copies with one id, or without any, one stays.
+    """
+    held = docs.select(F.struct(*docs.columns).alias("s_doc"), "text")
+    held = stage(with_fingerprints(held, words_in_shingle).withColumn("s_row", F.monotonically_increasing_id()), "fingerprints")
+    taken = held.select("fp", F.struct(
+        F.col("s_doc.doc_id").isNull().alias("without"), F.col("s_doc.doc_id").cast("long").alias("doc_id"), "s_row",
+    ).alias("place"), "s_row")
+    judged = _with_class(taken, _classes(taken.select("fp", "place"), "place", "first_place"), F.xxhash64("s_row"))
+    lost = judged.where("first_place.s_row != s_row").select(F.col("s_row").alias("lost_row"))
+    return held.join(lost, F.col("s_row") == F.col("lost_row"), "left_anti").select("s_doc.*")
