@@ -86,3 +86,13 @@ def test_labelled_documents(spark):
     judged = [r for r in told if not r.base_failed]
     assert sum(r.kept for r in judged if r.quality) > 0.97 * sum(1 for r in judged if r.quality)
     assert sum(not r.kept for r in told if not r.quality) > 0.95 * sum(1 for r in told if not r.quality)
+
+
+@pytest.mark.parametrize("texts", [["short"], [None], ["a b c d e " * 400], ["short", None, "a b c d e " * 400, "", "x"]])
+def test_no_document_passes_the_base_rules(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else None, "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = q.quality(docs).collect()
+    assert len(got) == len(texts) and all(r.base_failed and not r.kept for r in got)
+    assert q.keep_good(docs).count() == 0
+    with_one = docs.unionByName(spark.createDataFrame([(99, " ".join(f"w{i}" for i in range(60)), None, None)], docs.schema))
+    assert [r.doc_id for r in q.quality(with_one).collect() if r.kept] == [99]

@@ -123,7 +123,8 @@ def fences(measured: DataFrame) -> DataFrame:
     groups = measured.select("q_lang", "q_source").distinct()
     own = sketched.select("q_lang", "q_source", F.struct(*names).alias("own"))
     of_lang = sketched.groupBy("q_lang").agg(*merged(sketched)).select("q_lang", F.struct(*names).alias("of_lang"))
-    of_all = sketched.agg(*merged(sketched)).select(F.struct(*names).alias("of_all"))  # one row
+    # one row; without a passing document nothing is merged, and only the base rules decide
+    of_all = sketched.agg(F.count("*").alias("groups"), *merged(sketched)).select(F.when(F.col("groups") > 0, F.struct(*names)).alias("of_all"))
     joined = (
         groups.alias("g")
         .join(own.alias("o"), F.col("g.q_lang").eqNullSafe(F.col("o.q_lang")) & F.col("g.q_source").eqNullSafe(F.col("o.q_source")), "left")
