@@ -45,6 +45,7 @@ from ..functions.staging import stage
 BASE = 8  # periods up to BASE form the first octave
 LEAST_WORDS = 24  # at least 3 * BASE, so that a stretch of the first octave is long enough too
 TILE_WORDS = 1024  # boundaries of a tile lie within so many words, unless one octave needs more
+TASK_WORDS = 4_000_000  # that boundaries look at, dealt to one task
 _ROW_BITS = 33
 
 
@@ -150,7 +151,8 @@ def fragments(octave: int, first: int, numbers: np.ndarray, found: np.ndarray) -
 def exploded(docs: DataFrame) -> DataFrame:
     """Documents and their tiles as one stored table, divided by ``kind``.
 
-    A doc row has its number, doc_id, n_words, the digest of its words, and the words themselves if it has tiles.
+    A doc row has its number, doc_id, n_words, the digest of its words, and the words themselves if it has tiles. In a tile
+    row n_words is how many words its boundaries look at.
     """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +165,7 @@ def exploded(docs: DataFrame) -> DataFrame:
                 joined, any_tile = b" ".join(words), False
                 for octave, first, ids, found in tiles(words):
                     any_tile = True
-                    rows.append(("tile", number, None, None, None, None, octave, first, ids.tobytes(), found.astype(np.int64).tobytes()))
+                    rows.append(("tile", number, None, 4 * abs(octave) * len(found), None, None, octave, first, ids.tobytes(), found.astype(np.int64).tobytes()))
                     held += 4 * len(ids) + 8 * len(found)
                 rows.append(("doc", number, doc_id, len(words), hashlib.sha256(joined).hexdigest(), joined if any_tile else None, None, None, None, None))
                 held += len(joined) if any_tile else 100
@@ -200,7 +202,9 @@ def runs_of(table: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["number", "period", "low", "high"])
 
-    dealt = table.where("kind = 'tile'").select("number", "octave", "first", "ids", "found").repartition("number", "octave", "first")
+    of_tiles = table.where("kind = 'tile'")
+    words = of_tiles.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
+    dealt = of_tiles.select("number", "octave", "first", "ids", "found").repartition(1 + words // TASK_WORDS, "number", "octave", "first")
     parts = dealt.mapInArrow(solve, "number long, period long, low long, high long")
     # stitch what touches: a fragment begins a stretch if all before it end before it starts
     along = Window.partitionBy("number", "period").orderBy("low", "high")
