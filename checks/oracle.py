@@ -529,6 +529,7 @@ _TIME_TEXT = f"""CASE {_draw('shape')} % 5 WHEN 0 THEN strftime(processed_at, '%
     WHEN 1 THEN strftime(processed_at, '%Y-%m-%d %H:%M:%S') WHEN 2 THEN strftime(processed_at, '%Y-%m-%d')
     WHEN 3 THEN 'yesterday' ELSE '' END"""
 _N = f"{_draw('number')} % 100"
+_AGAIN = f"{_draw('again')} % 100"
 
 # --- generated data ----------------------------------------------------------------------------
 _ANCHOR = "TIMESTAMP '2025-06-01 12:00:00'"
@@ -610,6 +611,8 @@ def all_statements() -> dict[str, str]:
         "load_coerce_log": on(ITEMS, f"""SELECT source_id, try_cast(CASE WHEN {_N} < 10 THEN 'n/a' WHEN {_N} < 20 THEN ''
             WHEN {_N} < 30 THEN '1e-1' ELSE '0.' || ({_N}) END AS DOUBLE) AS confidence,
             try_cast({_TIME_TEXT} AS TIMESTAMP) AS timestamp FROM items"""),
+        "load_coerce_metrics": on(ITEMS, f"""SELECT source_id AS run_id, try_cast({_TIME_TEXT} AS TIMESTAMP) AS run_at,
+            CASE WHEN {_N} >= 20 THEN {_N} END AS total_processed FROM items"""),
         # responses
         "parse_responses": on(ITEMS + "," + RESPONSES, """SELECT source_id, stage, attempt, well_formed, confidence, demand_score,
             passed, category, platform, severity, user_impact, title, description, issues FROM parsed"""),
@@ -636,6 +639,19 @@ def all_statements() -> dict[str, str]:
         "classify_rules": on(ITEMS + "," + RULES, "SELECT source_id, label, category, round(confidence, 6) AS confidence FROM ruled"),
         "classify_recorded": on(ITEMS + "," + RESPONSES, """SELECT i.source_id, i.source_type, a.category, a.confidence,
             a.category IS NULL AS failed_response FROM items i LEFT JOIN answers a USING (source_id)"""),
+        "classify_rerecorded": on(ITEMS + "," + RESPONSES, f"""SELECT i.source_id, i.source_type,
+            CASE WHEN {_AGAIN} < 10 THEN 'Spam' WHEN a.category IS NOT NULL THEN a.category
+              WHEN {_AGAIN} BETWEEN 25 AND 29 THEN 'Praise' END AS category,
+            CASE WHEN {_AGAIN} < 10 THEN 0.65::DOUBLE WHEN a.category IS NOT NULL THEN a.confidence
+              WHEN {_AGAIN} BETWEEN 25 AND 29 THEN 0.9::DOUBLE END AS confidence,
+            a.category IS NULL AND {_AGAIN} >= 10 AND NOT {_AGAIN} BETWEEN 25 AND 29 AS failed_response
+            FROM items i LEFT JOIN answers a USING (source_id)"""),
+        "response_conflicts": on(ITEMS + "," + RESPONSES, f"""SELECT i.source_type, i.source_id, 'answer_classifier' AS slot,
+            2::BIGINT AS recordings, 2::BIGINT AS different FROM items i JOIN answers a USING (source_id)
+            WHERE ({_AGAIN} < 10 AND NOT (a.category = 'Spam' AND a.confidence = 0.65::DOUBLE))
+              OR ({_AGAIN} BETWEEN 25 AND 29 AND NOT (a.category = 'Praise' AND a.confidence = 0.9::DOUBLE))"""),
+        "classify_calibrated": on(ITEMS, """SELECT 'recall of ' || label AS check, count(*) AS items, true AS holds FROM items GROUP BY label
+            UNION ALL SELECT unnest(['calibration error below 0.02', 'every bin is calibrated']), count(*), true FROM items"""),
         # details and drafts
         "bug_details": on(_LABEL_STATES, "SELECT source_id, platform, os_version, steps_to_reproduce, severity FROM bugs"),
         "feature_demand": on(_LABEL_STATES, "SELECT phrase, requests FROM demand"),
@@ -663,6 +679,11 @@ def all_statements() -> dict[str, str]:
         "run_category_counts": on(_RUN, "SELECT run_id, category, count(*) AS items FROM outcome WHERE NOT failed_response GROUP BY ALL"),
         "processing_log": on(_WITH_LOG, "SELECT * FROM log"),
         "run_metrics": on(_RUN, _METRICS),
+        "run_summary": on(_RUN, """SELECT run_id, unnest(['Total items', 'Tickets created', 'Skipped', 'Failed / Errored']) AS name,
+              unnest([1, 2, 3, 4]) AS position, unnest([count(*), count(*) FILTER (disposition = 'created'),
+              count(*) FILTER (disposition = 'skipped'), count(*) FILTER (disposition = 'failed')]) AS items FROM outcome GROUP BY run_id
+            UNION ALL SELECT run_id, category, 4 + row_number() OVER (PARTITION BY run_id ORDER BY category), count(*)
+            FROM outcome WHERE NOT failed_response GROUP BY run_id, category"""),
         "run_metrics_recorded": on(_RUN_RECORDED, _METRICS),
         "run_metrics_native": on(_RUN_NATIVE, _METRICS),
         "tickets": on(_WITH_TICKETS, "SELECT * EXCLUDE (n) FROM tickets"),
@@ -731,6 +752,10 @@ def all_statements() -> dict[str, str]:
               round(CASE WHEN hits = 0 THEN 0 ELSE 2 * hits / (support + predicted) END, 6) AS f1 FROM classes"""),
         "eval_accuracy": on(_PAIRS, """SELECT sum(items)::BIGINT AS items, sum(items) FILTER (actual = predicted)::BIGINT AS hits,
             round(sum(items) FILTER (actual = predicted) / sum(items), 6) AS accuracy FROM pairs"""),
+        "stream_tables": on(_RUN_NATIVE, """SELECT count(*) AS total_processed,
+              count(*) FILTER (disposition = 'created') AS tickets_created, count(*) FILTER (disposition = 'skipped') AS skipped,
+              count(*) FILTER (disposition = 'failed') AS failed, count(*) AS classified,
+              count(*) FILTER (disposition = 'created') AS ticket_ids, count(*) FILTER (disposition = 'created') AS last_number FROM outcome"""),
         "stream_intake": on(ITEMS + "," + RULES, """SELECT source_id, category, round(confidence, 6) AS confidence,
             CASE WHEN confidence < 0.7 THEN 'low_confidence' WHEN category = 'Bug' THEN 'bug'
               WHEN category = 'Feature Request' THEN 'feature' ELSE 'end' END AS route FROM ruled"""),

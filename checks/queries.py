@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from voxsift import fixed_values as fv
 from voxsift.config import TriageConfig
 from voxsift.functions.picks import draw, literal, pick
-from voxsift.functions.staging import new_folder
+from voxsift.functions.staging import new_folder, stage
 from voxsift.operators import (
     accounting, details, drafting, edits, evaluation, intake, quality, responses as rs,
     routing, scoring, ticket_ids as numbering,
 )
 from voxsift.plans import generate as gen, reports, triage
 from voxsift.sources import profile, tables
-from voxsift.streaming.intake_stream import triage_stream
+from voxsift.streaming.intake_stream import triage_into_tables, triage_stream
 
 from . import spine
 from .store import mixed_outcome, stored_run
@@ -124,6 +124,16 @@ def load_coerce_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.coerce_log(raw)
 
 
+@query
+def load_coerce_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.expr(f"{draw('key', 'number')} % 100")
+    raw = spine.items(spark, sf_dir).withColumn("shape", F.expr(draw("key", "shape"))).withColumn("n", number).select(
+        F.col("source_id").alias("run_id"), _time_text().alias("run_at"),
+        F.when(F.col("n") < 10, "n/a").when(F.col("n") < 20, "").otherwise(F.col("n").cast("string")).alias("total_processed"),
+    )
+    return tables.coerce_metrics(raw)
+
+
 # --- responses ----------------------------------------------------------------------
 @query
 def parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +194,40 @@ def classify_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.recorded_scorer(known).drop("answer_classifier")
 
 
+@query
+def classify_rerecorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several recordings of an item: the last one that can be used counts."""
+    known = rs.attach_answers(
+        spine.items(spark, sf_dir).select("source_id", "source_type"), spine.responses_again(spark, sf_dir), ["answer_classifier"],
+    )
+    return scoring.recorded_scorer(known).drop("answer_classifier")
+
+
+@query
+def response_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.conflicts(spine.responses_again(spark, sf_dir), ["answer_classifier"])
+
+
+@query
+def classify_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a trained and calibrated scorer is worth on items it has not seen: each check with its items, and whether it holds."""
+    labelled = spine.items(spark, sf_dir).select("source_id", "text", "label")
+    scored = stage(scoring.cross_calibrated(labelled).select("label", "category", "confidence"), "calibrated")
+    right = F.count_if(F.col("label") == F.col("category")) / F.count("*")
+    per_label = scored.groupBy("label").agg(F.count("*").alias("items"), (right >= 0.95).alias("holds"))
+    bins = evaluation.calibration_table(scored)
+    error = evaluation.calibration_error(bins).select(
+        F.lit("calibration error below 0.02").alias("check"), "items", (F.col("error") < 0.02).alias("holds")
+    )
+    # a bin of a few items may be off by chance: three standard deviations of a share
+    off = F.col("gap") > 0.03 + 1.5 / F.sqrt("items")
+    each = bins.agg(F.sum("items").alias("items"), (F.count_if(off) == 0).alias("holds")).select(
+        F.lit("every bin is calibrated").alias("check"), "items", "holds"
+    )
+    recall = per_label.select(F.concat(F.lit("recall of "), "label").alias("check"), "items", "holds")
+    return recall.unionByName(error).unionByName(each)
+
+
 @query
 def classify_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = spine.items(spark, sf_dir).select("source_id", "text", "label")
@@ -366,6 +410,11 @@ def run_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounting.run_category_counts(stored_run(spark, sf_dir).outcome)
 
 
+@query
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounting.run_summary(stored_run(spark, sf_dir).outcome)
+
+
 @query
 def processing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.processing_log(stored_run(spark, sf_dir).outcome)
@@ -597,3 +646,25 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/items").select(
         "source_id", "category", F.round("confidence", 6).alias("confidence"), "route"
     )
+
+
+@query
+def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items arrive in two deliveries that share a third of them; a query takes up the first, a restarted one the second.
+
+    Each item counts once, and the tickets of all batches are numbered without gaps.
+    """
+    folder = new_folder(spark, "stream-tables")
+    arriving = spine.items(spark, sf_dir).withColumn("part", F.expr(f"{draw('key', 'delivery')} % 3"))
+    for wanted in ("part < 2", "part > 0"):
+        delivery = arriving.filter(wanted).select("source_id", "source_type", "text")
+        delivery.write.mode("append").parquet(f"{folder}/inbox")
+        inbox = spark.readStream.schema(delivery.schema).parquet(f"{folder}/inbox")
+        triage_into_tables(inbox, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    counts = ["total_processed", "tickets_created", "skipped", "failed"]
+    totals = tables.load_metrics(spark, f"{folder}/out/metrics").agg(*(F.sum(c).alias(c) for c in counts))
+    logged = tables.load_log(spark, f"{folder}/out/log").agg(F.count_if(F.col("agent") == "classifier").alias("classified"))
+    numbers = tables.load_tickets(spark, f"{folder}/out/tickets").agg(
+        F.count_distinct("ticket_id").alias("ticket_ids"), F.coalesce(F.max(numbering.ticket_number()), F.lit(0)).alias("last_number")
+    )
+    return totals.crossJoin(logged).crossJoin(numbers)  # one row each

@@ -145,11 +145,27 @@ def responses(spark: SparkSession, sf_dir: str, *stages: str) -> DataFrame:
     )
     return (
         keyed(table(spark, sf_dir, "orders"), *purposes)
-        .selectExpr("source_id", f"inline(array({made}))")
+        .selectExpr("source_type", "source_id", f"inline(array({made}))")
         .filter("raw IS NOT NULL")
     )
 
 
+_AGAIN_RAW = f"""CASE
+    WHEN d_again % 100 < 10 THEN {literal('{"category": "Spam", "confidence": 0.65}')}
+    WHEN d_again % 100 < 15 THEN 'cut off {{'
+    WHEN d_again % 100 BETWEEN 25 AND 29 THEN {literal('{"category": "Praise", "confidence": 0.9}')} END"""
+
+
+def responses_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded classifications, some of them with a later or an earlier recording beside."""
+    again = keyed(table(spark, sf_dir, "orders"), "again").selectExpr(
+        "source_type", "source_id", f"'{rs.CLASSIFIER}' AS stage", "1 AS attempt", f"{_AGAIN_RAW} AS raw",
+        "CASE WHEN d_again % 100 < 15 THEN 2L ELSE 0L END AS recorded_at",
+    )
+    once = responses(spark, sf_dir, rs.CLASSIFIER).selectExpr("*", "1L AS recorded_at")
+    return once.unionByName(again.filter("raw IS NOT NULL"))
+
+
 # --- free text from documents and conversations ---------------------------------
 _PADDING = ["", " ", "\t\n", "\u00a0\u2003", "\r\n \u3000"]
 

@@ -58,11 +58,6 @@ MSG_BAD_PRIORITY = "Invalid priority: '%s'"
 MSG_BUG_DETAILS = "Bug ticket is missing technical_details"
 
 # --- processing log ----------------------------------------------------------
-LOG_COLUMNS = ["source_id", "source_type", "agent", "decision", "confidence", "timestamp"]
-METRICS_COLUMNS = [
-    "run_id", "run_at", "total_processed", "tickets_created", "skipped", "failed",
-    "bug_count", "feature_request_count", "praise_count", "complaint_count", "spam_count",
-]
 
 # --- response text -----------------------------------------------------------
 FENCE_PATTERN = r"(?s)```(?:json)?\s*(.*?)```"

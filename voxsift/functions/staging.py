@@ -7,7 +7,9 @@ instead of recomputing, and a lost executor costs no more than its own tasks.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +43,28 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged within the block when it ends; frames that read it end with it."""
+    folders: list[str] = []
+    before = _OPEN.set((*_OPEN.get(), folders))
+    try:
+        yield
+    finally:
+        _OPEN.reset(before)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the frame once and return a frame that reads it back."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
+    for folders in _OPEN.get():
+        folders.append(folder)
     df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

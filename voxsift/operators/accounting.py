@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 
@@ -53,6 +53,26 @@ def with_empty_run(metrics: DataFrame, run_id: str, run_at: datetime) -> DataFra
     )
 
 
+def run_summary(outcome: DataFrame) -> DataFrame:
+    """What a run prints at its end, as rows in order: run_id, position, name, items.
+
+    First the totals, then each category that occurs, by name. One aggregation over
+    the outcome; the order is made from its few counts.
+    """
+    counted = outcome.groupBy("run_id", "disposition", "failed_response", "category").agg(F.count("*").alias("n"))
+    totals = [("Total items", F.lit(True)), *((name, F.col("disposition") == kind) for name, kind in (
+        ("Tickets created", "created"), ("Skipped", "skipped"), ("Failed / Errored", "failed"),
+    ))]
+    heads = counted.groupBy("run_id").agg(F.array(*(
+        F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.sum(F.when(test, F.col("n")).otherwise(0)).alias("items"))
+        for i, (name, test) in enumerate(totals, 1)
+    )).alias("lines")).select("run_id", F.inline("lines"))
+    found = counted.filter(~F.col("failed_response")).groupBy("run_id", "category").agg(F.sum("n").alias("items"))
+    place = F.row_number().over(Window.partitionBy("run_id").orderBy("category"))  # one row per category
+    categories = found.select("run_id", (place + len(totals)).alias("position"), F.col("category").alias("name"), "items")
+    return heads.unionByName(categories)
+
+
 def run_succeeded(metrics: DataFrame) -> bool:
     """True if nothing failed."""
     return metrics.agg(F.coalesce(F.sum("failed"), F.lit(0)).alias("n")).first()["n"] == 0

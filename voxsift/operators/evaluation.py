@@ -90,3 +90,19 @@ def accuracy(pairs: DataFrame) -> DataFrame:
         hits.alias("hits"),
         F.round(hits / F.sum("items"), 6).alias("accuracy"),
     )
+
+
+def calibration_table(scored: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
+    """Per bin of confidence its items, hits, mean confidence, accuracy, and the gap between the last two."""
+    right = F.coalesce(F.col("category") == F.col(label), F.lit(False))
+    number = F.least(F.floor(F.col("confidence") * bins), F.lit(bins - 1)).cast("int")
+    return scored.groupBy(number.alias("bin")).agg(
+        F.count("*").alias("items"), F.count_if(right).alias("hits"), F.avg("confidence").alias("mean_confidence"),
+    ).withColumn("accuracy", F.col("hits") / F.col("items")).withColumn("gap", F.abs(F.col("mean_confidence") - F.col("accuracy")))
+
+
+def calibration_error(table: DataFrame) -> DataFrame:
+    """One row: items, and the gap of all bins weighted by their items."""
+    return table.agg(
+        F.coalesce(F.sum("items"), F.lit(0)).alias("items"), (F.sum(F.col("gap") * F.col("items")) / F.sum("items")).alias("error")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from ..functions.positions import with_positions
+from ..functions.selection import first_rows, key_literal
 from ..functions.text import strip
 
 
@@ -58,25 +58,29 @@ def unify(reviews: DataFrame, emails: DataFrame) -> DataFrame:
 def first_items(items: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` items by source type, id and content; 0 or None keeps all.
 
-    One rule for every limit, so a smaller one keeps a prefix of a larger one.
-    Only the narrow keys are put in order, to find the key of the last item;
-    the items themselves are filtered by it where they are. Content counts by
-    its digest, so items that tie in everything are exact copies of each other.
+    One rule for every limit, so a smaller one keeps a prefix of a larger one. The
+    key of the last item is selected without putting the items in order, and the
+    items are filtered by it where they are. Content counts by its digest, which
+    is taken of the items that share the last key only; items that tie in that as
+    well are exact copies of each other.
     """
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
     if not limit:
         return items
-    content = F.md5(F.to_json(F.struct("text", "metadata")).cast("binary")) if "metadata" in items.columns else F.md5(F.col("text").cast("binary"))
-    key = F.struct("source_type", "source_id", F.coalesce(content, F.lit("")).alias("content"))
-    keys = items.select(key.alias("k")).select("k.*")
-    order = ["source_type", "source_id", "content"]
-    placed = with_positions(keys, order, "__number")
-    last = placed.filter(F.col("__number") == limit).select(F.struct(*order).alias("last")).first()
+    order = ["source_type", "source_id"]
+    before, last, needed = first_rows(items, order, limit)
     if last is None:
         return items
-    found = F.struct(*(F.lit(value).cast("string").alias(name) for name, value in last["last"].asDict().items()))
-    copies = placed.filter(F.struct(*order) == found).agg(F.min("__number").alias("n")).first()["n"]
-    marked = items.withColumn("__key", key)
-    before, equal = marked.filter(F.col("__key") < found), marked.filter(F.col("__key") == found)
-    return before.unionByName(equal.limit(limit - copies + 1)).drop("__key")
+    same = F.struct(*order) == key_literal(last, order)
+    if not needed:
+        return items.filter(before | same)
+    text = F.to_json(F.struct("text", "metadata")) if "metadata" in items.columns else F.col("text")
+    content = F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+    tied = items.filter(same).withColumn("__content", content)
+    smaller, digest, copies = first_rows(tied, ["__content"], needed)
+    found = digest["__content"]
+    if not copies:
+        return items.filter(before | (same & (content <= F.lit(found))))
+    cut = tied.filter(F.col("__content") == found).drop("__content").limit(copies)
+    return items.filter(before | (same & (content < F.lit(found)))).unionByName(cut)

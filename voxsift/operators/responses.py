@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv, schemas
-from ..functions.lookup import lookup
+from ..functions.lookup import frequent_keys, lookup, lookups
+from ..functions.staging import stage
 from ..functions.text import clamp, one_of, strip
 
 CLASSIFIER, BUG, FEATURE, DRAFT, CRITIC = "classifier", "bug", "feature", "draft", "critic"
@@ -197,19 +198,85 @@ ANSWERS = {
 }
 
 
-def answers_by_item(responses: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per source_id with the validated answers of the named slots.
+KEY = "__key"
 
-    Parsing and validation run before the only shuffle. ``max`` combines on the
-    map side, so repeated recordings of one item never pile up in one task.
+
+def _with_key(rows: DataFrame, typed: bool) -> DataFrame:
+    """Adds the key of an item: its id, and its source where responses name it."""
+    name = F.concat("source_type", F.lit("\0"), "source_id") if typed else F.col("source_id")
+    return rows.withColumn(KEY, name)
+
+
+def _order(responses: DataFrame) -> Column:
+    """The place of a recording among others of its item; without ``recorded_at`` all have the same."""
+    if "recorded_at" not in responses.columns:
+        return F.lit(0).cast("long")
+    kind = responses.schema["recorded_at"].dataType.simpleString()
+    at = F.unix_micros("recorded_at") if kind == "timestamp" else F.col("recorded_at").cast("long")
+    return F.coalesce(at, F.lit(-(1 << 63) + 1))
+
+
+def usable_answers(responses: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(key, slot, recorded, answer per stage): the responses of the named slots that can be used, parsed once.
+
+    Adds the key's own columns too: source_id, and source_type if the responses have it.
     """
-    parsed = parse(responses)
-    slots = []
+    stages = sorted({ANSWERS[name][0] for name in names})
+    typed = "source_type" in responses.columns
+    slot = None
     for name in names:
-        stage, attempt = ANSWERS[name]
-        here = F.col("well_formed") & (F.col("stage") == stage) & (F.col("attempt") == attempt)
-        slots.append(F.max(F.when(here, _VALIDATORS[stage]())).alias(name))
-    return parsed.groupBy("source_id").agg(*slots)
+        stage_name, attempt = ANSWERS[name]
+        here = (F.col("stage") == stage_name) & (F.col("attempt") == attempt)
+        slot = F.when(here, F.lit(name)) if slot is None else slot.when(here, F.lit(name))
+    slotted = responses.withColumn("__slot", slot).withColumn("__recorded", _order(responses)).filter(F.col("__slot").isNotNull())
+    parsed = parse(slotted)
+    answers = [
+        F.when(F.col("well_formed") & (F.col("stage") == name), _VALIDATORS[name]()).alias(f"__{name}") for name in stages
+    ]
+    keys = ["source_type", "source_id"] if typed else ["source_id"]
+    taken = _with_key(parsed, typed).select(KEY, *keys, "__slot", "__recorded", *answers)
+    return taken.filter(F.coalesce(*(F.when(F.col(f"__{name}").isNotNull(), True) for name in stages), F.lit(False)))
+
+
+def _repeated(usable: DataFrame) -> DataFrame:
+    """Keys and slots with more than one usable recording, and the time of the last one: a narrow hash aggregation."""
+    counted = usable.groupBy(KEY, "__slot").agg(F.count("*").alias("__n"), F.max("__recorded").alias("__last"))
+    return counted.filter(F.col("__n") > 1).drop("__n")
+
+
+def _answers_of(usable: DataFrame) -> list[str]:
+    return [c for c in usable.columns if c.removeprefix("__") in STAGES]
+
+
+def one_answer_each(usable: DataFrame) -> DataFrame:
+    """At most one answer per key and slot: the last recorded one that can be used.
+
+    Of several that were recorded last at the same time, the largest value
+    stands. ``usable`` is a stored table. Only what was recorded more than once is
+    aggregated with its texts; everything else passes as it is.
+    """
+    repeated = stage(_repeated(usable), "repeated")
+    if not repeated.limit(1).count():
+        return usable.drop("__recorded")
+    names = _answers_of(usable)
+    pair = F.concat(KEY, F.lit("\0"), "__slot")
+    marked = lookup(usable.withColumn("__pair", pair), repeated.select(pair.alias("__pair"), "__last"), "__pair")
+    once = marked.filter(F.col("__last").isNull()).select(KEY, "__slot", *names)
+    last = marked.filter(F.col("__recorded") == F.col("__last")).groupBy(KEY, "__slot").agg(*(F.max(c).alias(c) for c in names))
+    return once.unionByName(last)
+
+
+def conflicts(responses: DataFrame, names: Sequence[str] = tuple(ANSWERS)) -> DataFrame:
+    """Items with usable recordings of one slot that differ: source_type, source_id, slot, recordings and different answers.
+
+    The source is null if the responses do not name it. Counts are of digests, so a hot id costs one number per different answer.
+    """
+    usable = usable_answers(responses, names)
+    source = F.col("source_type") if "source_type" in usable.columns else F.lit(None).cast("string")
+    digest = F.xxhash64(*(F.to_json(c) for c in _answers_of(usable)))
+    each = usable.groupBy(source.alias("source_type"), "source_id", F.col("__slot").alias("slot"), digest.alias("d")).agg(F.count("*").alias("n"))
+    told = each.groupBy("source_type", "source_id", "slot").agg(F.sum("n").alias("recordings"), F.count("*").alias("different"))
+    return told.filter(F.col("different") > 1)
 
 
 def attach_answers(
@@ -217,7 +284,16 @@ def attach_answers(
 ) -> DataFrame:
     """Items with their answers; an item without any keeps null answers.
 
-    Ids should be unique, but many items may share one, a blank one say; the
-    lookup spreads such items over all tasks.
+    Responses that name a ``source_type`` belong to the item of that source only,
+    so ids may be shared by sources; with ``recorded_at`` the last usable recording
+    counts. Usable answers are written once; each slot is then joined on its own,
+    with only its columns. Items should be unique, but many may share an id, a
+    blank one say; the lookups spread such items over all tasks.
     """
-    return lookup(items, answers_by_item(responses, names), "source_id")
+    typed = "source_type" in responses.columns
+    answers = one_answer_each(stage(usable_answers(responses, names), "answers"))
+    keyed = _with_key(items, typed)
+    rights = [
+        answers.filter(F.col("__slot") == name).select(KEY, F.col(f"__{ANSWERS[name][0]}").alias(name)) for name in names
+    ]
+    return lookups(keyed, rights, KEY, frequent_keys(keyed, KEY)).drop(KEY)

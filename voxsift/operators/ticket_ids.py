@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.positions import with_positions
 
 
+def ticket_number() -> Column:
+    """The number in a ticket_id."""
+    return F.substring("ticket_id", 2, 20).try_cast("bigint")
+
+
 def last_number(tickets: DataFrame) -> int:
     """The highest number in use; 0 without tickets."""
-    number = F.substring("ticket_id", 2, 20).try_cast("bigint")
-    return tickets.agg(F.max(number).alias("n")).first()["n"] or 0
+    return tickets.agg(F.max(ticket_number()).alias("n")).first()["n"] or 0
 
 
 def with_ticket_ids(tickets: DataFrame, after: int = 0) -> DataFrame:

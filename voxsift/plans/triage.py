@@ -15,8 +15,8 @@ from ..operators.drafting import priority, technical_details, with_state
 from ..operators.intake import first_items
 from ..operators.responses import ANSWERS, attach_answers
 from ..operators.scoring import Scorer, recorded_scorer, rule_scorer
-from ..operators.ticket_ids import last_number, tickets
-from ..sources import tables
+from ..operators.ticket_ids import last_number, ticket_number, ticket_rows, tickets
+from ..sources import numbers, tables, versions
 
 DetailStep = Callable[[DataFrame], DataFrame]
 
@@ -124,7 +124,11 @@ def run(
     after_ticket: int = 0,
 ) -> TriageTables:
     """The three output tables of a run, all derived from one stored outcome."""
-    done = stage(outcome(items, responses, steps, config), "outcome")
+    return tables_of(stage(outcome(items, responses, steps, config), "outcome"), after_ticket)
+
+
+def tables_of(done: DataFrame, after_ticket: int = 0) -> TriageTables:
+    """What a stored outcome gives; ticket numbers begin after the given one."""
     return TriageTables(
         outcome=done,
         tickets=tickets(done, after_ticket),
@@ -133,6 +137,24 @@ def run(
     )
 
 
+def _after_number(spark: SparkSession, folder: str, done: DataFrame, run_id: str) -> int:
+    """The number before a run's first ticket: its own from before if they suffice, else newly claimed."""
+    count = ticket_rows(done).count()
+    if not count:
+        return 0
+    stored = tables.load_tickets(spark, f"{folder}/tickets")
+    if "run_id" not in stored.columns:
+        return numbers.reserve(spark, folder, count, run_id, last_number(stored))
+    number = ticket_number()
+    own = F.col("run_id").eqNullSafe(F.lit(run_id))
+    seen = stored.agg(
+        F.coalesce(F.max(number), F.lit(0)).alias("last"), F.count_if(own).alias("had"), F.min(F.when(own, number)).alias("first")
+    ).first()
+    if seen["had"] >= count:
+        return seen["first"] - 1
+    return numbers.reserve(spark, folder, count, run_id, seen["last"])
+
+
 def run_and_store(
     spark: SparkSession,
     items: DataFrame,
@@ -145,19 +167,18 @@ def run_and_store(
 ) -> TriageTables:
     """Run over ``items`` and add the run to the tables under ``folder``.
 
-    Ticket numbers go on after those of all other runs, so runs into one folder
-    must not overlap in time. Doing the same run again replaces it, also if it
-    now has no tickets, so a job that was cut short can simply be repeated. A
-    run without items leaves a metrics row of zeros.
+    Numbers are claimed before they are given out, so runs into one folder may
+    overlap. Doing the same run again replaces all its tables in one step, also if
+    it now has no tickets, so a job that was cut short can simply be repeated. It
+    keeps its numbers, unless it has more tickets than before. A run without items
+    leaves a metrics row of zeros.
     """
-    paths = {name: f"{folder.rstrip('/')}/{name}" for name in ("tickets", "log", "metrics")}
-    stored = tables.load_tickets(spark, paths["tickets"])
-    others = stored.filter(F.col("run_id") != run_id) if "run_id" in stored.columns else stored
-    made = run(stamp(items, run_id, run_at), responses, steps, config, last_number(others))
+    folder = folder.rstrip("/")
+    paths = {name: f"{folder}/{name}" for name in ("tickets", "log", "metrics")}
+    done = stage(outcome(stamp(items, run_id, run_at), responses, steps, config), "outcome")
+    made = tables_of(done, _after_number(spark, folder, done, run_id))
     made = replace(made, metrics=accounting.with_empty_run(made.metrics, run_id, run_at))
-    for name, path in paths.items():
-        tables.drop_run(spark, path, run_id)
-        tables.append(getattr(made, name), path)
+    versions.publish(spark, folder, {name: getattr(made, name) for name in paths}, [run_id])
     return TriageTables(
         outcome=made.outcome,
         tickets=tables.load_tickets(spark, paths["tickets"]),

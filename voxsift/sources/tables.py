@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..functions.staging import stage
+from . import versions
 
 
-def _known(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The table, or an empty one of the same shape where nothing is stored yet."""
+def _plain(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The files right below the path, or an empty table where there are none."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
@@ -22,6 +22,28 @@ def _known(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _split(path: str) -> tuple[str, str]:
+    folder, _, table = path.rstrip("/").rpartition("/")
+    return folder, table
+
+
+def _known(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table: current versions of published runs, and rows that were added plainly.
+
+    Where nothing is stored yet, an empty table of the same shape. Plain rows of a
+    run that was published since are not read any more.
+    """
+    folder, table = _split(path)
+    plain = _plain(spark, path, schema)
+    as_of = versions.current(spark, folder)
+    if as_of is None:
+        return plain
+    runs = versions.listed(spark, folder, as_of).filter(F.col("table") == table).select(F.col("run_id").alias("__run"))
+    if "run_id" in plain.columns:
+        plain = plain.join(runs, F.col("run_id").eqNullSafe(F.col("__run")), "left_anti")
+    return versions.read(spark, folder, table, schema, as_of).unionByName(plain, allowMissingColumns=True)
+
+
 def load_tickets(spark: SparkSession, path: str) -> DataFrame:
     return _known(spark, path, schemas.TICKETS)
 
@@ -40,7 +62,9 @@ def coerce_tickets(raw: DataFrame) -> DataFrame:
 
 
 def coerce_metrics(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("run_at", F.col("run_at").try_cast("timestamp"))
+    """Typed metrics from text columns; unreadable times and counts become null."""
+    kinds = {field.name: field.dataType for field in schemas.METRICS}
+    return raw.withColumns({name: F.col(name).try_cast(kinds[name]) for name in raw.columns if name in kinds})
 
 
 def coerce_log(raw: DataFrame) -> DataFrame:
@@ -57,43 +81,32 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
 
 
 def append(rows: DataFrame, path: str, partition_by: Sequence[str] = ("run_id",)) -> None:
-    """Append the runs of a batch, each to its own partition.
+    """Store the runs of a batch, each in the place of what it has stored before.
 
-    A run that is written again, after a job failed half way, replaces what it
-    wrote before. The rebalance hint gives each run few files of an even size;
-    AQE splits a run that holds most of the rows instead of writing it from
-    one task. Without ``partition_by`` rows are simply added.
+    The runs are published in one step (see ``versions``): a job that dies leaves
+    the table as it was. Without ``partition_by`` rows are simply added.
     """
     if not partition_by:
         rows.write.mode("append").parquet(path)
         return
-    (
-        rows.hint("rebalance", *partition_by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by).parquet(path)
-    )
+    folder, table = _split(path)
+    versions.publish(rows.sparkSession, folder, {table: rows})
 
 
 def drop_run(spark: SparkSession, path: str, run_id: str) -> None:
-    """Remove what a run has stored in a table that is partitioned by ``run_id``.
-
-    Overwriting partitions leaves those alone that no row is written to, and a
-    repeated run may have fewer tickets than before, or none.
-    """
-    stored = _known(spark, path, schemas.RUN_KEY)
-    files = stored.filter(F.col("run_id") == run_id).select(F.input_file_name().alias("file")).distinct().collect()
-    for row in files:
-        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
-        file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    """Remove what a run has stored in a table; readers see all of it until it is gone."""
+    folder, table = _split(path)
+    versions.publish(spark, folder, {table: None}, [run_id])
 
 
-def store_edited(tickets: DataFrame, path: str) -> None:
+def store_edited(tickets: DataFrame, path: str, based_on: str | None = None) -> None:
     """Put edited tickets (flag ``edited``) in the place of the stored ones they come from.
 
-    Only runs with an edit are written again. They are staged first, because a
-    table cannot be overwritten while it is read; readers and later runs then
-    find them where they were.
+    Only runs with an edit are written again, and all of them become current in
+    one step. ``based_on`` is what ``versions.current`` gave when the tickets were
+    read; a run that was stored again since is an error then, and keeps what it has.
     """
-    runs = tickets.filter("edited").select("run_id").distinct()
-    changed = tickets.join(runs, "run_id", "left_semi").drop("edited")
-    append(stage(changed, "edited"), path)
+    runs = tickets.filter("edited").select(F.col("run_id").alias("__run")).distinct()
+    changed = tickets.join(runs, F.col("run_id").eqNullSafe(F.col("__run")), "left_semi").drop("edited")
+    folder, table = _split(path)
+    versions.publish(tickets.sparkSession, folder, {table: changed}, based_on=based_on)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
+from . import tables
 
 # Quoted bodies run over several lines and double their quotes. An empty text is
 # written as "" and a missing one as nothing, and read back as such.
@@ -48,6 +49,25 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, schemas.LABELS)
 
 
+def read_tickets(spark: SparkSession, path: str) -> DataFrame:
+    """An exported ticket table, typed; unreadable times become null."""
+    return tables.coerce_tickets(_scan(spark, path, _as_text(schemas.TICKETS)))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """An exported processing log, typed; unreadable times and numbers become null."""
+    return tables.coerce_log(_scan(spark, path, _as_text(schemas.LOG)))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Exported run metrics, typed; unreadable times and counts become null."""
+    return tables.coerce_metrics(_scan(spark, path, _as_text(schemas.METRICS)))
+
+
+def _as_text(schema: StructType) -> StructType:
+    return StructType([StructField(field.name, StringType()) for field in schema])
+
+
 def to_parquet(df: DataFrame, path: str) -> DataFrame:
     """Store a text source as parquet in evenly sized files and read it back."""
     df.hint("rebalance").write.mode("errorifexists").parquet(path)
