@@ -63,3 +63,41 @@ def test_recall_on_the_given_table(spark):
     assert found / sum(map(len, want.values())) >= 0.9
     exact = {(q, i): score for q, near in want.items() for score, i in near}
     assert all(exact.get((r.query_id, r.vec_id), r.score) == r.score for r in got)
+
+
+def test_recall_of_the_approximate_path(spark):
+    """20,000 and more vectors, of which a query sees little more than half; the exact search is in blocks here."""
+    draw = np.random.default_rng(11)
+    spread = draw.normal(size=(21_000, 64)) * np.linspace(1.6, 0.4, 64) + draw.normal(size=(30, 64))[draw.integers(0, 30, 21_000)] * 0.5
+    units = spread / np.sqrt((spread**2).sum(axis=1, keepdims=True))
+    asked = np.arange(0, 21_000, 150)
+    close = units[asked] @ units.T
+    close[np.arange(len(asked)), asked] = -9
+    want = {int(q): set(np.argsort(-line, kind="stable")[:5].tolist()) for q, line in zip(asked, close)}
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(spread.tolist())], "id long, vec array<double>").repartition(6)
+    got = multi_index.nearest(frame, frame.where("id % 150 = 0"), least_probed=1).collect()
+    found = sum(r.vec_id in want[r.query_id] for r in got)
+    assert len(got) == 5 * len(asked)
+    assert found / len(got) >= 0.9
+    fewer = multi_index.nearest(frame, frame.where("id % 1500 = 0"), probed_share=0.02, least_probed=1).collect()
+    part = sum(r.vec_id in want[r.query_id] for r in fewer) / len(fewer)
+    assert part < 0.9  # the share decides: nothing falls back to a whole search
+
+
+def test_centroids_grow_with_the_table():
+    assert [multi_index.centroids_for(n) for n in (1, 2_000, 50_000, 10**8, 10**12)] == [4, 13, 30, 200, 256]
+
+
+def test_lengths_do_not_mix_and_large_numbers_have_a_cosine(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0, 0.0, 0.0]), (2, [0.0, 1.0]), (3, [0.6, 0.8]), (50, [0.0, 0.0, 0.0, 1.0]), (100, [3.0]),
+            (150, [1e200, 1e200]), (151, [1e-200, 1e-200]), (152, [1e308, 1e308])]
+    frame = spark.createDataFrame(rows, "id long, vec array<double>")
+    got = {}
+    for r in multi_index.nearest(frame, frame.where("id % 50 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    assert sorted(got[50]) == [(1, 1, 0.0)] and 100 not in got
+    assert [(i, s) for _, i, s in sorted(got[150])] == [(151, 1.0), (152, 1.0), (3, round(1.4 / 2**0.5, 9)), (0, round(0.5**0.5, 9)), (2, round(0.5**0.5, 9))]
+    assert {i for _, i, _ in got[0]} == {2, 3, 150, 151, 152}
+    with pytest.raises(ValueError, match="lengths"):
+        many = spark.createDataFrame([(i, [1.0] * (i + 1)) for i in range(70)], "id long, vec array<double>")
+        multi_index.nearest(many, many)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +27,26 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import stage
 
-CENTROIDS = 32  # per half, at most 64
+MOST_CENTROIDS = 256  # per half
 SAMPLE_ROWS = 20_000  # vectors that the centroids are fitted to, at most
 ROUNDS = 12
 PROBED_SHARE = 0.55  # of the indexed vectors that a query's cells must hold
-LEAST_PROBED = 2_000
+LEAST_PROBED = 64
+MOST_LENGTHS = 64  # different lengths of vector in one table
 BLOCK = 1024
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 256
 
 
-def fit(sample: np.ndarray, centroids: int = CENTROIDS, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
+def centroids_for(total: int) -> int:
+    """Centroids per half: cells grow with the square root of the table, so both cells and the vectors in one do."""
+    return min(MOST_CENTROIDS, max(4, round(2 * total**0.25)))
+
+
+_SAFE = (1e-280, 1e300)  # squared lengths between which no sum of squares or product overflows or loses digits
+
+
+def fit(sample: np.ndarray, centroids: int, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
     """Centroids of both halves, (2, k, half), by Lloyd's rounds from rows drawn at random."""
     draw = np.random.default_rng(seed)
     half = sample.shape[1] // 2
@@ -87,7 +97,7 @@ def visited(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: in
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(id, vec, norm) of the vectors that take part: not null, not zero, all components finite numbers."""
+    """(id, vec) of the vectors that take part: not null, not zero, all components finite numbers."""
     vec = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).where(F.col("vec").isNotNull())
     rows = rows.where(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
@@ -105,28 +115,50 @@ def _scaled(rows: np.ndarray) -> np.ndarray:
 
 
 def cosine(query: np.ndarray, vector: np.ndarray) -> float:
-    """The cosine of two vectors in double precision."""
-    return float(np.dot(query, vector) / (np.sqrt(np.dot(query, query)) * np.sqrt(np.dot(vector, vector))))
+    """The cosine of two vectors in double precision; scaled first only where squares leave the range of doubles."""
+    with np.errstate(over="ignore", under="ignore"):
+        sizes = np.dot(query, query), np.dot(vector, vector)
+    if not all(_SAFE[0] < size < _SAFE[1] for size in sizes):
+        query, vector = query / np.abs(query).max(), vector / np.abs(vector).max()
+        sizes = np.dot(query, query), np.dot(vector, vector)
+    return float(np.dot(query, vector) / (np.sqrt(sizes[0]) * np.sqrt(sizes[1])))
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, centroids: int = CENTROIDS,
+    vectors: DataFrame, queries: DataFrame, k: int = 5, centroids: int | None = None,
     probed_share: float = PROBED_SHARE, least_probed: int = LEAST_PROBED,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of ``vectors`` found for each row of ``queries``, itself left out.
 
-    Both have columns (id, vec) as ``usable`` gives them, all vectors of the same
-    length; the ids of queries are ids of vectors. Nearest is largest cosine,
-    ties go to the smaller id. Fewer vectors than asked for: all of them. Rows
-    with the same id and vector count once.
+    Both have columns (id, vec) as ``usable`` gives them; the ids of queries are
+    ids of vectors. Nearest is largest cosine, ties go to the smaller id. Fewer
+    vectors than asked for: all of them. Rows with the same id and vector count
+    once. Vectors of different lengths have no cosine: each length is a table of
+    its own (at most MOST_LENGTHS, else an error). ``centroids`` per half: by
+    default they grow with the table. A query's cells hold ``probed_share`` of the
+    vectors, at every size of table, and ``least_probed`` at least.
     """
-    spark, keep = vectors.sparkSession, k + 1
-    total = vectors.count()
-    if total == 0:
+    spark = vectors.sparkSession
+    length = F.size("vec")
+    counted = vectors.groupBy(length.alias("n")).count().limit(MOST_LENGTHS + 1).collect()
+    if len(counted) > MOST_LENGTHS:
+        raise ValueError(f"vectors have more than {MOST_LENGTHS} different lengths")
+    parts = []
+    for n, total in sorted((row["n"], row["count"]) for row in counted):
+        own = (vectors, queries) if len(counted) == 1 else (vectors.where(length == n), queries.where(length == n))
+        parts.append(_of_one_length(*own, total, k, centroids or centroids_for(total), probed_share, least_probed))
+    if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    share = min(1.0, 2 * SAMPLE_ROWS / total)
-    sample = vectors.select("vec").sample(share, seed=3).limit(SAMPLE_ROWS).toArrow() if share < 1 else vectors.select("vec").toArrow()
-    points = _matrix(sample.column("vec").combine_chunks()) if sample.num_rows else np.array(vectors.first()["vec"])[None, :]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _of_one_length(
+    vectors: DataFrame, queries: DataFrame, total: int, k: int, centroids: int, probed_share: float, least_probed: int
+) -> DataFrame:
+    """``nearest`` among vectors of the same length, of which there is at least one."""
+    keep = k + 1
+    drawn = vectors.select("vec", F.xxhash64("id", "vec").alias("h")).orderBy("h").limit(SAMPLE_ROWS) if total > SAMPLE_ROWS else vectors
+    points = _matrix(drawn.select("vec").toArrow().column("vec").combine_chunks())
     books = fit(_scaled(points), centroids)
     k2 = books.shape[1]  # centroids of each half
 
@@ -198,13 +230,14 @@ def nearest(
                 some = batch.slice(at, QUERY_BLOCK)
                 rows, ids = _matrix(some.column(1)), some.column(0).to_numpy()
                 near_first, near_second = _half_distances(_scaled(rows), books)
-                sets = np.zeros((k2, len(rows)), np.uint64)
+                sets = np.zeros((k2, len(rows), k2), bool)
                 for q in range(len(rows)):
-                    for cell in visited(near_first[q], near_second[q], sizes, enough):
-                        sets[cell // k2, q] |= np.uint64(1 << cell % k2)
-                for one in np.flatnonzero(sets.any(axis=1)).tolist():
-                    members = np.flatnonzero(sets[one])
-                    values = (ids[members], sets[one, members], np.ascontiguousarray(rows[members]))
+                    cells = np.array(visited(near_first[q], near_second[q], sizes, enough), np.int64)
+                    sets[cells // k2, q, cells % k2] = True
+                any_of = sets.any(axis=2)
+                for one in np.flatnonzero(any_of.any(axis=1)).tolist():
+                    members = np.flatnonzero(any_of[one])
+                    values = (ids[members], np.packbits(sets[one, members], axis=1), np.ascontiguousarray(rows[members]))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([one], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
                         names=["q_first", "q_ids", "q_sets", "q_vecs"],
@@ -228,7 +261,7 @@ def nearest(
                 ids, n = np.frombuffer(ids, np.int64), len(starts) - 1
                 rows = np.frombuffer(vecs).reshape(n, -1)
                 asked = np.frombuffer(q_vecs).reshape(len(q_ids), -1)
-                seen = (np.frombuffer(q_sets, np.uint64)[:, None] >> np.frombuffer(seconds, np.uint8).astype(np.uint64)) & np.uint64(1)
+                seen = np.unpackbits(np.frombuffer(q_sets, np.uint8).reshape(len(q_ids), -1), axis=1)[:, np.frombuffer(seconds, np.uint8)]
                 close = np.where(seen == 1, _scaled(asked) @ _scaled(rows).T, -9.0)
                 for q, line, vector in zip(q_ids.tolist(), close, asked):
                     # near enough to be among the first even if the product is off in its last bits
