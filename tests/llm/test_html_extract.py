@@ -86,3 +86,55 @@ def test_rows(spark, model):
     got = {(r.page_id, r.n_chars, r.text[:5]) for r in h.main_text(pages).collect()}
     assert got == {(1, 0, ""), (2, 0, ""), (None, 11, "Text,"), (3, 599999, "Long,")}
     assert h.main_text(pages).count() == 5 and h.main_text(pages.limit(0)).collect() == []
+
+
+def text_of(body, model=None):
+    return h.extract(f"<html><body><article>{body}</article></body></html>", model or h.default_model())
+
+
+def test_elements_within_a_line_do_not_break_it():
+    assert text_of("<p>See <x-tip class=note>this</x-tip> word, and go on.</p>") == ["See this word, and go on."]
+    assert text_of("<p>One <ruby>two<rt>zwei</rt></ruby>, <output>three</output> <nobr>four</nobr> <picture><img src=x></picture>five.</p>") == [
+        "One twozwei, three four five."]
+    assert text_of("<p>Press <button class=b>OK <b>now</b></button>to go on, <select><option>a<option>b</select>or stay.</p>") == ["Press to go on, or stay."]
+    assert text_of("<p>A line.<br>Goes on<hr>here, <x-a>with <x-b>two</x-b></x-a> of them.</p><p>Next, then.</p>") == [
+        "A line. Goes on here, with two of them.", "Next, then."]
+
+
+def test_blocks_in_custom_elements_belong_to_them():
+    told = "<p>We tell you a story, a long one. It has an end.</p>"
+    assert text_of(told + "<x-box class=sidebar><p>Read this too, it is great.</p></x-box>" + told) == ["We tell you a story, a long one. It has an end."] * 2
+    assert text_of(told + "<x-box class='cookie notice'>We use cookies, many of them.</x-box><p>The story goes on, as it must.</p>") == [
+        "We tell you a story, a long one. It has an end.", "The story goes on, as it must."]
+    assert text_of(told + "<button><div>Share it, now.</div></button>" + told) == ["We tell you a story, a long one. It has an end."] * 2
+    page = parse("<div><x-a><p>in</x-a>out</div>")
+    assert [(page.nodes[n].tag, text) for n, text, _ in page.blocks] == [("p", "in"), ("div", "out")]
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 50_000 + "x" + "</div>" * 50_000, "<div>" * 50_000 + "</span></x-y></b></section>" * 50_000,
+    "<div>" * 50_000 + "</section>" * 50_000, "<div>" * 50_000 + "<dd>x</dd>" * 50_000, "<li><ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000,
+    "<x-a>t" * 50_000 + "</x-a>" * 50_000, "<button>" * 50_000 + "</select>" * 50_000 + "<div>x", "<p><x-a>" * 50_000 + "</x-b>" * 50_000, "<ul><li>" * 50_000 + "</li>" * 50_000,
+])
+def test_deep_pages_take_time_in_proportion(source):
+    import time
+
+    start = time.process_time()
+    page = parse(source)
+    assert time.process_time() - start < 5
+    assert len(page.nodes) <= 100_003
+    h.extract(source, h.default_model())
+
+
+def test_pages_the_fit_has_not_seen(given_pages):
+    """The model is fitted to pages drawn from one half, and judged on the other half."""
+    from pyspark.sql import functions as F
+
+    half = F.pmod(F.xxhash64(F.lit("half"), "url"), F.lit(2))
+    model = h.trained(given_pages.where(half == 0))
+    unseen = given_pages.where(half == 1)
+    source = {r.page_id: r.html for r in unseen.collect()}
+    seen = {r.html for r in given_pages.where(half == 0).collect()}
+    rows = [r for r in h.main_text(unseen, model).collect() if source[r.page_id] not in seen]
+    wrong = [r.page_id for r in rows if r.text != plain(source[r.page_id])]
+    assert len(rows) > 100 and len(wrong) <= len(rows) * 0.01, wrong[:5]
