@@ -242,6 +242,11 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine.items(spark, sf_dir).withColumnRenamed("label", "category")
 
 
+def _labelled_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once by category as a run does, since each branch and the demand count read it."""
+    return stage(_labelled(spark, sf_dir), "labelled", ["category"])
+
+
 def _bugs(labelled: DataFrame) -> DataFrame:
     return details.bug_details(labelled.filter(F.col("category") == "Bug"))
 
@@ -259,7 +264,7 @@ def _actionable(labelled: DataFrame) -> DataFrame:
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items, bugs and feature requests with their details."""
-    labelled = _labelled(spark, sf_dir)
+    labelled = _labelled_once(spark, sf_dir)
     others = labelled.filter(~F.col("category").isin("Bug", "Feature Request"))
     return _actionable(labelled).unionByName(drafting.with_state(others))
 
@@ -279,7 +284,7 @@ def feature_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features(_labelled(spark, sf_dir)).select(
+    return _features(_labelled_once(spark, sf_dir)).select(
         "source_id", "feature_description", "user_impact", "demand_score"
     )
 
@@ -311,7 +316,7 @@ def _drafted(states: DataFrame) -> DataFrame:
 
 
 def _drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drafted(_actionable(_labelled(spark, sf_dir)))
+    return _drafted(_actionable(_labelled_once(spark, sf_dir)))
 
 
 @query
@@ -339,7 +344,7 @@ def _review_cases(labelled: DataFrame) -> DataFrame:
 
 @query
 def quality_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.review(_review_cases(_labelled(spark, sf_dir))).select(
+    return quality.review(_review_cases(_labelled_once(spark, sf_dir))).select(
         "source_id", "quality_passed", F.array_join("quality_issues", "; ").alias("issues")
     )
 
@@ -349,6 +354,7 @@ def quality_review_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rs.attach_answers(
         _labelled(spark, sf_dir), spine.responses(spark, sf_dir, rs.CRITIC), ["answer_critic_1"]
     )
+    judged = stage(judged, "judged", ["category"])  # read by each branch
     return quality.review_recorded(_review_cases(judged), F.col("answer_critic_1")).select(
         "source_id", "quality_passed", F.array_join("quality_issues", "; ").alias("issues")
     )
@@ -356,12 +362,12 @@ def quality_review_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.issue_counts(quality.review(_review_cases(_labelled(spark, sf_dir))))
+    return quality.issue_counts(quality.review(_review_cases(_labelled_once(spark, sf_dir))))
 
 
 @query
 def retry_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviewed = quality.review(_review_cases(_labelled(spark, sf_dir)))
+    reviewed = quality.review(_review_cases(_labelled_once(spark, sf_dir)))
     failed = (~F.col("quality_passed")).cast("int")
     return reviewed.select(
         "source_id", drafting.retry_hint(failed, F.col("quality_issues")).alias("hint")

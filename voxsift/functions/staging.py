@@ -60,11 +60,11 @@ def freed(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write the frame once and return a frame that reads it back."""
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), keep: bool = False) -> DataFrame:
+    """Write the frame once and return a frame that reads it back; with ``keep`` it outlives a block of ``freed``."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
-    for folders in _OPEN.get():
+    for folders in () if keep else _OPEN.get():
         folders.append(folder)
     df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
