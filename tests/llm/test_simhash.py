@@ -5,6 +5,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from voxsift.llm import simhash
 from voxsift.llm.components import components
@@ -64,6 +65,22 @@ def test_links_join_what_all_pairs_join(spark, groups, size):
     assert {_signed(x): got.get(_signed(x), _signed(x)) for x in fps} == want
 
 
+@pytest.mark.parametrize("groups,size", [(60, 6), (2, 150), (300, 1)])
+def test_large_buckets_are_dealt_out_again(spark, monkeypatch, groups, size):
+    """Rows of one bucket come in many batches, as those of a bucket larger than a batch do."""
+    monkeypatch.setattr(simhash, "SPLIT", 3)
+    fps = _clusters(groups + 1, groups, size) + [1 << k for k in range(40)] + [0]
+    fps = list(dict.fromkeys(fps))
+    nodes = spark.createDataFrame([(_signed(x),) for x in fps], "fp long").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {r.node: r.root for r in components(simhash.near_links(nodes)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = plain_components([(_signed(x), x) for x in fps])
+    assert {_signed(x): got.get(_signed(x), _signed(x)) for x in fps} == want
+
+
 def test_large_buckets_are_divided(monkeypatch, spark):
     monkeypatch.setattr(simhash, "DENSE", 8)
     import numpy as np
@@ -107,6 +124,11 @@ def test_chain_of_links(spark):
 def test_rows_with_one_id_are_told_apart(spark):
     texts = {name: " ".join(f"{name}{i * 31 % 97}" for i in range(200)) for name in "ABCDE"}
     rows = [(1, "A"), (5, "A"), (5, "B"), (7, "C"), (7, "D"), (7, "D"), (None, "E"), (None, "E"), (None, "A")]
-    docs = spark.createDataFrame([(i, texts[t], t) for i, t in rows], "doc_id long, text string, s_row string").repartition(3)
-    kept = sorted(((r.doc_id, r.s_row) for r in simhash.keep_one(docs).collect()), key=str)
+    docs = spark.createDataFrame([(i, texts[t], t, {"k": [1]}) for i, t in rows], "doc_id long, text string, name string, s_id map<string,array<int>>")
+    result = simhash.keep_one(docs.repartition(3))
+    assert result.schema == docs.schema
+    kept = sorted(((r.doc_id, r.name) for r in result.collect()), key=str)
     assert kept == sorted([(1, "A"), (5, "B"), (7, "C"), (7, "D"), (None, "E")], key=str)
+    # rows with one id and text that differ elsewhere are near copies as well
+    marked = docs.withColumn("name", F.concat("name", F.col("doc_id").cast("string"))).unionByName(docs.limit(1))
+    assert simhash.keep_one(marked).count() == 5

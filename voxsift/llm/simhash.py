@@ -4,7 +4,9 @@ A fingerprint of 64 bits is cut into three segments. If two fingerprints differ
 in at most four bits, one segment differs in at most one. So each segment is
 indexed once for each of its bits, with that bit wiped out: segments that differ
 in one bit, or in none, have such a variant in common. Equal variants are
-brought together by a shuffle, and the full fingerprints are compared.
+brought together by a shuffle, and the full fingerprints are compared. A bucket of more
+than SPLIT fingerprints is dealt out once more, by blocks of the bits outside its
+segment, of which one is equal in near fingerprints.
 
 Equal fingerprints are one node, so copies are never paired. Within a bucket a
 large set of fingerprints is divided again by the variants of the other two
@@ -20,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
 
 from ..functions.staging import stage
 from .components import components
@@ -31,6 +33,7 @@ SEED = 42
 SALTS = 16
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits; one more than MOST_BITS // 2
 DENSE = 512  # fingerprints that are compared with each other at once
+SPLIT = 4_096  # fingerprints of one bucket that are compared in one task; a larger one is dealt out again
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -128,11 +131,8 @@ def _joined(nodes: np.ndarray, segment: int, bit: int) -> list[tuple[int, int]]:
     if len(nodes) <= DENSE:
         compare(np.arange(len(nodes)))
         return links
-    # at most four of the other bits differ, so of five blocks of them one is equal
-    first, bits = SEGMENTS[segment]
-    others = [k for k in range(64) if not first <= k < first + bits]
-    for block in np.array_split(others, MOST_BITS + 1):
-        keys = nodes & np.uint64(sum(1 << int(k) for k in block))
+    for mask in _other_blocks(segment):
+        keys = nodes & mask
         order = np.argsort(keys, kind="stable")
         for members in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
             if len(members) > 1:
@@ -140,6 +140,18 @@ def _joined(nodes: np.ndarray, segment: int, bit: int) -> list[tuple[int, int]]:
     return links
 
 
+def _other_blocks(segment: int) -> list[np.uint64]:
+    """Masks of five blocks of the bits outside a segment: at most four of these bits differ, so one block is equal."""
+    first, bits = SEGMENTS[segment]
+    others = [k for k in range(64) if not first <= k < first + bits]
+    return [np.uint64(sum(1 << int(k) for k in block)) for block in np.array_split(others, MOST_BITS + 1)]
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return values ^ (values >> np.uint64(29))
+
+
 def near_links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) that join all that differ in at most four bits in turn."""
     variants = _variants()
@@ -158,14 +170,14 @@ def near_links(nodes: DataFrame) -> DataFrame:
                 )
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Sorted rows, never cut within a key."""
+        """Sorted rows, never cut within a key, unless it has more than SPLIT of them."""
         rest: tuple[list, list] = [], []
         for batch in batches:
             keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(keys):
                 continue
             last = int(np.searchsorted(keys, keys[-1]))
-            if last or (rest[0] and rest[0][-1][-1] != keys[-1]):
+            if last or (rest[0] and (rest[0][-1][-1] != keys[-1] or sum(map(len, rest[0])) > SPLIT)):
                 yield np.concatenate([*rest[0], keys[:last]]), np.concatenate([*rest[1], fps[:last]])
                 rest = [], []
             rest[0].append(keys[last:])
@@ -174,24 +186,61 @@ def near_links(nodes: DataFrame) -> DataFrame:
             yield np.concatenate(rest[0]), np.concatenate(rest[1])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of the buckets, and the rows of large buckets under the keys of their other blocks."""
+        large = None
         for keys, fps in buckets(batches):
-            found = []
+            found, again = [], []
             cuts = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(keys)]))
-            several = np.flatnonzero(ends - starts > 1)
+            several = np.flatnonzero((ends - starts > 1) | (keys[starts] == (-1 if large is None else large)))
             for start, end in zip(starts[several].tolist(), ends[several].tolist()):
-                segment, bit, _ = variants[int(keys[start]) >> 22]
+                key = int(keys[start])
+                segment, bit, _ = variants[key >> 22]
                 nodes = fps[start:end].view(np.uint64)
-                if end - start == 2:
+                if end - start > SPLIT or key == large:
+                    large = key
+                    again += [
+                        (_mixed((nodes & mask) + _mixed(np.full(len(nodes), 8 * key + i, np.uint64))), np.full(len(nodes), key), nodes)
+                        for i, mask in enumerate(_other_blocks(segment))
+                    ]
+                elif end - start == 2:
                     found += [(start, start + 1)] if _near(nodes[:1], nodes[1:], segment, bit)[0] else []
                 else:
                     found += [(start + x, start + y) for x, y in _joined(nodes, segment, bit)]
             pairs = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(fps[pairs[:, 0]]), pa.array(fps[pairs[:, 1]])], names=["a", "b"])
+            yield told(np.zeros(len(pairs), np.int64), np.full(len(pairs), -1), fps[pairs[:, 0]], fps[pairs[:, 1]])
+            for block, key, nodes in again:
+                yield told(block.view(np.int64), key, nodes.view(np.int64), nodes.view(np.int64))
+
+    def told(block: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(block), pa.array(key.astype(np.int32)), pa.array(a), pa.array(b)], names=["block", "key", "a", "b"])
+
+    def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by block and key; what has one key in common is compared with each other."""
+        key, nodes = None, []
+
+        def links() -> pa.RecordBatch:
+            segment, bit, _ = variants[key[1] >> 22]
+            fps = np.unique(np.array(nodes, np.int64).view(np.uint64))
+            pairs = np.array(_joined(fps, segment, bit), np.int64).reshape(-1, 2)
+            ends = fps.view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(ends[pairs[:, 0]]), pa.array(ends[pairs[:, 1]])], names=["a", "b"])
+
+        for batch in batches:
+            for block, number, fp in zip(*(column.to_pylist() for column in batch.columns)):
+                if (block, number) != key:
+                    if len(nodes) > 1:
+                        yield links()
+                    key, nodes = (block, number), []
+                nodes.append(fp)
+        if len(nodes) > 1:
+            yield links()
 
     indexed = nodes.select("fp").mapInArrow(index, "key int, fp long")
     sorted_rows = indexed.repartition("key").sortWithinPartitions("key")
-    return sorted_rows.mapInArrow(compare, "a long, b long")
+    compared = stage(sorted_rows.mapInArrow(compare, "block long, key int, a long, b long"), "links")
+    again = compared.where("key >= 0").select("block", "key", "a").repartition("block", "key").sortWithinPartitions("block", "key")
+    return compared.where("key < 0").select("a", "b").unionByName(again.mapInArrow(compare_blocks, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
@@ -229,15 +278,24 @@ def _with_class(taken: DataFrame, entries: DataFrame, spread: Column) -> DataFra
 def keep_one(docs: DataFrame, words_in_shingle: int = SHINGLE) -> DataFrame:
     """Of each group of near copies one row, with all its columns.
 
-    It is the one with the smallest doc_id, null last. Rows are told apart by a
-    number of their own, never by doc_id, so different texts with one id both
-    stay, and of exact copies with one id, or without any, one stays.
+    It is the one with the smallest doc_id, null last. Rows are told apart by
+    doc_id and a hash of all their columns, so different texts with one id both
+    stay. Rows that agree in all of that are copies of each other; one of them stays.
     """
-    held = docs.select(F.struct(*docs.columns).alias("s_doc"), "text")
-    held = stage(with_fingerprints(held, words_in_shingle).withColumn("s_row", F.monotonically_increasing_id()), "fingerprints")
-    taken = held.select("fp", F.struct(
-        F.col("s_doc.doc_id").isNull().alias("without"), F.col("s_doc.doc_id").cast("long").alias("doc_id"), "s_row",
-    ).alias("place"), "s_row")
-    judged = _with_class(taken, _classes(taken.select("fp", "place"), "place", "first_place"), F.xxhash64("s_row"))
-    lost = judged.where("first_place.s_row != s_row").select(F.col("s_row").alias("lost_row"))
-    return held.join(lost, F.col("s_row") == F.col("lost_row"), "left_anti").select("s_doc.*")
+    names = [f"`{name}`" for name in docs.columns]
+    keyed = docs.select(F.struct(*names).alias("s_doc"), F.col("doc_id").cast("long").alias("s_id"), _row_hash(docs).alias("s_hash"))
+    taken = stage(with_fingerprints(keyed.select("s_id", "s_hash", "s_doc.text"), words_in_shingle), "fingerprints")
+    place = F.struct(F.col("s_id").isNull().alias("without"), "s_id", "s_hash")
+    judged = _with_class(taken, _classes(taken, place, "first_place"), F.xxhash64("s_id", "s_hash"))
+    later = ~(F.col("first_place.s_id").eqNullSafe(F.col("s_id")) & (F.col("first_place.s_hash") == F.col("s_hash")))
+    lost = judged.where("first_place IS NOT NULL").where(later).select(F.col("s_id").alias("l_id"), F.col("s_hash").alias("l_hash")).distinct()
+    kept = keyed.join(lost, F.col("s_id").eqNullSafe(F.col("l_id")) & (F.col("s_hash") == F.col("l_hash")), "left_anti")
+    if taken.groupBy("s_id", "s_hash").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["s_id", "s_hash"])
+    return kept.select("s_doc.*")
+
+
+def _row_hash(rows: DataFrame) -> Column:
+    """A hash of all columns; nested ones, which may hold maps, by their JSON."""
+    atomic = lambda field: not isinstance(field.dataType, (ArrayType, MapType, StructType))
+    return F.xxhash64(*(F.col(f"`{f.name}`") if atomic(f) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in rows.schema))
