@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from voxsift.llm import suffix_dedup
 from voxsift.llm.suffix_dedup import LENGTH, cut_repeats, digest
 
 
@@ -78,3 +79,62 @@ def test_rows_of_the_cut_table(spark):
         elif (text or "").isascii():
             assert hashlib.sha256(got[i].text.encode()).hexdigest() == told[i][1]
     assert cut_repeats(docs.limit(0)).collect() == [] and digest(docs.limit(0)).collect() == []
+
+
+def plain_longest(keys, letters, where, keep_first):
+    out = []
+    for i in range(len(keys)):
+        best = -1
+        for j in range(len(keys)):
+            if j != i and keys[i] == keys[j] and (not keep_first or where[j] < where[i]):
+                same = letters[i] == letters[j]
+                best = max(best, len(same) if same.all() else int(same.argmin()))
+        out.append(best)
+    return out
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("seed", range(4))
+def test_longest_factors_from_smaller_positions_in_suffix_order(seed, keep_first):
+    import numpy as np
+
+    draw = np.random.default_rng(seed)
+    keys = draw.integers(0, 4, 120).astype(np.uint64)
+    letters = draw.integers(97, 99, (120, 9)).astype(np.uint8)
+    where = draw.permutation(120)
+    order, common = suffix_dedup._classes(keys, letters)
+    lengths, sources = suffix_dedup.longest_matches(order, common, where, keep_first)
+    want = plain_longest(keys, letters, where, keep_first)
+    assert lengths.tolist() == want
+    for i, length in enumerate(want):
+        if length >= 0:
+            j = sources[i]
+            assert j != i and keys[i] == keys[j] and (letters[i][:length] == letters[j][:length]).all()
+            assert not keep_first or where[j] < where[i]
+
+
+def test_long_runs_take_seconds(spark):
+    import time
+
+    start = time.process_time()
+    for text in (b"a" * 1_000_000, b"ab" * 300_000, b"abcdefg" * 100_000):
+        p, *_ = suffix_dedup.chosen_grams(text)
+        assert len(p)
+    assert time.process_time() - start < 20
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_long_texts(spark, keep_first):
+    draw = random.Random(5)
+    long = "".join(draw.choice("abcdefgh \n") for _ in range(60_000))
+    edited = long[:20_000] + "X" + long[20_001:40_000] + long[40_050:]
+    rows = [(1, long + "z" * 3_000 + long[1_000:2_000]), (2, edited), (3, "xy" * 2_000 + long[30_000:30_400]), (4, long[:199]), (5, edited[100:9_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, digest(docs, keep_first).collect())) == sorted(plain(rows, keep_first))
+
+
+def test_parts_by_bytes_do_not_change_the_result(spark, monkeypatch):
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 1000)
+    assert sorted(map(tuple, digest(docs).collect())) == sorted(plain(rows))

@@ -8,14 +8,15 @@ chosen grams, about one in fifty.
 
 1. Chosen grams are shuffled by their hash, with a hash of the bytes around
    them. Grams that occur once are dropped; where all occurrences have the same
-   surroundings, all strings that chose the gram repeat.
+   surroundings, by hash, all strings that chose the gram repeat.
 2. Only for the others the surroundings themselves are fetched from the texts.
 3. Per gram they are put in suffix order to the right and, reversed, to the
-   left. Longest common prefixes of neighbours give the classes of strings that
-   agree, and in a class every position but the smallest has a previous one in
-   suffix order: its longest previous factor is ``length`` or more. So for each
-   occurrence the first and the last string that repeats are known, and all of
-   them hold the gram: the bytes between are what repeats.
+   left. The longest previous factor of each side is found from the previous and
+   the next smaller position in suffix order. Both bound the strings that repeat,
+   and where one earlier occurrence shares all of it, byte for byte, that is the
+   answer. What no single occurrence settles is decided offset by offset, by
+   classes of equal strings. All strings found hold the gram, so what lies between
+   the first and the last of them repeats as well.
 4. The spans are joined to the texts.
 
 Copies within a batch are settled there: a frequent passage sends one row per
@@ -38,7 +39,7 @@ from ..functions.staging import stage
 LENGTH = 200
 GRAM = 100
 REACH = LENGTH - GRAM  # a string may start so many bytes before its gram
-PART_DOCS = 4096
+PART_BYTES = 4 << 20  # of text to a part: its grams and surroundings are settled in one task
 _FULL, _MIXED = 1, 2
 
 _BASES = tuple(np.uint64(b) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
@@ -82,21 +83,23 @@ def chosen_grams(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     start = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
     end = np.concatenate((start[1:], [windows])) - 1
     place = start + REACH  # a new minimum comes in from the right
-    found_p, found_a, found_b = [], [], []
-    risen = np.concatenate(([True], low[start[1:]] > low[start[1:] - 1]))
-    while True:
-        inside = np.flatnonzero(risen)
-        for at in range(0, len(inside), 4096):
-            some = inside[at:at + 4096]
-            place[some] = start[some] + grams[start[some][:, None] + np.arange(REACH + 1)].argmin(axis=1)
-        found_p.append(place)
-        found_a.append(start)
-        found_b.append(np.minimum(end, place))
-        again = end > place  # the gram leaves, an equal one remains
-        if not again.any():
-            break
-        start, end, place, risen = place[again] + 1, end[again], place[again], np.ones(int(again.sum()), bool)
-    p, a, b = map(np.concatenate, (found_p, found_a, found_b))
+    risen = np.flatnonzero(np.concatenate(([True], low[start[1:]] > low[start[1:] - 1])))
+    for at in range(0, len(risen), 4096):
+        some = risen[at:at + 4096]
+        place[some] = start[some] + grams[start[some][:, None] + np.arange(REACH + 1)].argmin(axis=1)
+    p, a, b = place, start, np.minimum(end, place)
+    left = np.flatnonzero(end > place)  # the gram leaves, an equal one remains
+    if len(left):
+        # each window that is left chooses the first of the equal grams in it: all of them at once, however long a run is
+        sizes = end[left] - place[left]
+        window = np.repeat(place[left] + 1 - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        values, which = np.unique(low[window], return_inverse=True)
+        spots = np.searchsorted(values, grams).clip(max=len(values) - 1)
+        equal = np.flatnonzero(values[spots] == grams)
+        keys = spots[equal] * np.int64(n) + equal
+        order = np.argsort(keys, kind="stable")
+        chosen = equal[order][np.searchsorted(keys[order], which * np.int64(n) + window)]
+        p, a, b = np.concatenate((p, chosen)), np.concatenate((a, window)), np.concatenate((b, window))
     order = np.lexsort((a, p))
     p, a, b = p[order], a[order], b[order]
     first = np.concatenate(([True], p[1:] != p[:-1]))
@@ -199,6 +202,45 @@ def _classes(keys: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, common
 
 
+def longest_matches(order: np.ndarray, common: np.ndarray, where: np.ndarray, keep_first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the longest prefix it shares with another row of its key, and one such row (-1 and 0 if there is none).
+
+    With ``keep_first`` only rows at earlier positions count: the longest previous
+    factor. In suffix order it is shared with the previous or the next row that has
+    a smaller position; a stack of rows with rising positions finds both in one pass.
+    """
+    n = len(order)
+    if not keep_first:
+        after = np.concatenate((common[1:], [-1]))
+        from_above = common >= after
+        at = np.arange(n)
+        best, source = np.where(from_above, common, after), np.where(from_above, np.maximum(at - 1, 0), np.minimum(at + 1, n - 1))
+    else:
+        position, shared = where[order].tolist(), common.tolist()
+        longest, found = [-1] * n, [0] * n
+        stack: list[tuple[int, int]] = []  # row, prefix shared with the row below it in the stack
+        for row in range(n):
+            prefix = shared[row]
+            while stack and position[stack[-1][0]] > position[row]:
+                top, below = stack.pop()
+                if prefix > longest[top]:  # the next smaller one; the previous smaller was noted when it came
+                    longest[top], found[top] = prefix, row
+                prefix = min(prefix, below)
+            if stack:
+                longest[row], found[row] = prefix, stack[-1][0]
+            stack.append((row, prefix))
+        best, source = np.array(longest), np.array(found)
+    lengths, sources = np.empty(n, np.int64), np.empty(n, np.int64)
+    lengths[order], sources[order] = best, np.where(best >= 0, order[source], 0)
+    return lengths, sources
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each row of a and b, byte by byte."""
+    differ = a != b
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
+
+
 def repeated_offsets(
     keys: np.ndarray, where: np.ndarray, low: np.ndarray, high: np.ndarray,
     left: np.ndarray, right: np.ndarray, keep_first: bool,
@@ -207,31 +249,58 @@ def repeated_offsets(
 
     ``left`` holds the REACH bytes before the gram, nearest first, ``right`` the
     LENGTH bytes from its start, both padded; ``where`` ranks the positions.
+
+    The string with offset s has REACH - s bytes to the left and GRAM + s to the
+    right, so the longest (previous) factors of both sides bound the offsets. If
+    one row shares all that both sides allow, the bounds are the answer. Only keys
+    with a row that no single other one settles are looked at offset by offset.
     """
-    n = len(keys)
-    ranks = []
-    for letters in (left, right):
-        order, common = _classes(keys, letters)
-        ranks.append((order, common))
-    lowest, highest = np.full(n, 1 << 30), np.full(n, -1)
-    for s in range(int(low.min()), int(high.max()) + 1):
-        valid = np.flatnonzero((low <= s) & (s <= high))
-        if not len(valid):
+    ranks = [_classes(keys, letters) for letters in (left, right)]
+    (left_length, left_source), (right_length, right_source) = (longest_matches(*rank, where, keep_first) for rank in ranks)
+    first, last = np.maximum(low, REACH - left_length), np.minimum(high, right_length - GRAM)
+    none = (left_length < 0) | (right_length < 0) | (first > last)
+    lowest, highest = np.where(none, 1, first), np.where(none, 0, last)
+    open_rows = np.flatnonzero(~none)
+    for source in (left_source, right_source):
+        for at in range(0, len(open_rows), 8192):
+            row = open_rows[at:at + 8192]
+            other = source[row]
+            covers = (np.maximum(low[other], REACH - _shared(left[row], left[other])) <= first[row]) & (
+                np.minimum(high[other], _shared(right[row], right[other]) - GRAM) >= last[row]
+            )
+            open_rows[at:at + 8192] = np.where(covers, -1, row)
+        open_rows = open_rows[open_rows >= 0]
+    if len(open_rows):
+        lowest[open_rows], highest[open_rows] = 1 << 30, -1
+        some = np.flatnonzero(np.isin(keys, keys[open_rows]))
+        is_open = np.zeros(len(keys), bool)
+        is_open[open_rows] = True
+        _by_offset(some, is_open, keys, where, low, high, first, last, left, right, keep_first, lowest, highest)
+        none = highest < 0
+        lowest, highest = np.where(none, 1, lowest), np.where(none, 0, highest)
+    return np.where(lowest > highest, 1, lowest), np.where(lowest > highest, 0, highest)
+
+
+def _by_offset(some, is_open, keys, where, low, high, first, last, left, right, keep_first, lowest, highest) -> None:
+    """Offsets of the open rows among ``some`` (whole keys): classes of equal strings, offset by offset."""
+    ranks = [_classes(keys[some], letters[some]) for letters in (left, right)]
+    opened = some[is_open[some]]
+    for s in range(int(first[opened].min()), int(last[opened].max()) + 1):
+        valid = np.flatnonzero((low[some] <= s) & (s <= high[some]))
+        if not (is_open[some[valid]] & (first[some[valid]] <= s) & (s <= last[some[valid]])).any():
             continue
         number = []
         for (order, common), depth in zip(ranks, (REACH - s, GRAM + s)):
-            classes = np.empty(n, np.int64)
+            classes = np.empty(len(some), np.int64)
             classes[order] = np.cumsum(common < depth)
             number.append(classes[valid])
-        key = number[0] * (n + 1) + number[1]
+        key = number[0] * (len(some) + 1) + number[1]
         order = np.argsort(key, kind="stable")
-        members = valid[order]
+        members = some[valid[order]]
         sizes, later = _earlier_in_run(key[order], where[members])
-        hit = members[later if keep_first else sizes > 1]
+        hit = members[(later if keep_first else sizes > 1) & is_open[members]]
         lowest[hit] = np.minimum(lowest[hit], s)
         highest[hit] = s
-    none = highest < 0
-    return np.where(none, 1, lowest), np.where(none, 0, highest)
 
 
 def _mixed_spans(texts: DataFrame, mixed: DataFrame, parts: int, keep_first: bool) -> DataFrame:
@@ -279,7 +348,8 @@ def _mixed_spans(texts: DataFrame, mixed: DataFrame, parts: int, keep_first: boo
 
 def repeated_spans(texts: DataFrame, keep_first: bool) -> DataFrame:
     """(uid, start, stop) over texts (uid, text): spans that repeat; they may overlap and come in any order."""
-    parts = max(1, -(-texts.count() // PART_DOCS))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    parts = max(1, -(-size // PART_BYTES))
     grams = stage(_grams_table(texts, parts, keep_first), "grams")
     flag = F.col("packed").bitwiseAND(255)
     p = F.shiftright("packed", 24)
