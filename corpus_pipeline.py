@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxsift.functions.staging import stage
+from voxsift.functions.staging import freed, stage
 from voxsift.llm import mixing, packing, quality_rules, simhash, suffix_dedup
 from voxsift.llm.queries import tokenizer_file
 
@@ -52,7 +52,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        with freed(spark):  # what a stage wrote on its way is not needed once its rows are stored
+            docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return docs
 
 

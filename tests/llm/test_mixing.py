@@ -83,3 +83,51 @@ def test_weighted_documents_keep_near_the_target(spark):
 
 def test_empty_table(docs):
     assert mix(docs.limit(0)).collect() == []
+
+
+def plain_due(sizes, weights, target, most=3.0):
+    """Copies due: level * weight, at most the limit, so that all together fill the target."""
+    low, high = 0.0, 1e12
+    for _ in range(300):
+        mid = (low + high) / 2
+        if sum(n * min(most, mid * w) for n, w in zip(sizes, weights)) < target:
+            low = mid
+        else:
+            high = mid
+    return [min(most, high * w) for w in weights]
+
+
+@pytest.mark.parametrize("heavy", [1e6, 40.0, 1.0])
+def test_what_the_limit_cuts_off_is_shared_out(spark, heavy):
+    """A few documents hold nearly all of the weight, and can be taken three times only."""
+    rows = [(i, "w " * (1 + i % 7), "a" if i % 5 else "b", heavy ** (i % 4) if i % 50 < 3 else 1.0 + i % 3) for i in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    got = {r.doc_id: r for r in mix(docs, weight_col="w").collect()}
+    for source in "ab":
+        mine = [(i, len(t.split()), w) for i, t, s, w in rows if s == source]
+        target = got[mine[0][0]].target
+        due = plain_due([n for _, n, _ in mine], [w for *_, w in mine], target)
+        assert abs(sum(got[i].copies * n for i, n, _ in mine) - target) <= 8
+        for (i, _, _), expected in zip(mine, due):
+            assert int(expected + 1e-6) <= got[i].copies <= expected + 1 + 1e-6
+
+
+def test_weights_that_are_no_weights(spark):
+    odd = [None, float("nan"), float("inf"), -1.0, 0.0]
+    rows = [(i, "a b c", "s", 1.0 if i >= 50 else odd[i % 5]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    got = mix(docs, weight_col="w").collect()
+    assert len(got) == 200 and all(r.copies == 0 for r in got if r.doc_id < 50)
+    assert abs(sum(r.copies * r.size for r in got) - 600) <= 2
+    none = mix(docs.where("doc_id < 50"), weight_col="w").collect()
+    assert len(none) == 50 and all(r.copies == 0 for r in none)
+
+
+def test_buckets_of_weighted_sources_are_even(spark, monkeypatch):
+    from voxsift.llm import mixing
+
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10)
+    draw = spark.range(6000).selectExpr("id AS doc_id", "'s' AS source", "cast(1 + id % 5 AS long) AS size", "pow(10D, id % 6) AS m_weight")
+    placed = mixing._ranked(draw, (1.0,), 3, 11, weighted=True)
+    counts = [r["count"] for r in placed.where("m_bucket >= 0").groupBy("source", "m_bucket").count().collect()]
+    assert max(counts) <= 120 and len(counts) > 100

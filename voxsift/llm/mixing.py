@@ -23,6 +23,8 @@ from ..functions.staging import stage
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4_000
 SALTS = 32
+BORDERS = 256  # quantiles of the ranking value that bound the buckets of a source with weighted documents
+ROUNDS = 60  # of sharing out again what the limit cuts off, at most
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -64,8 +66,16 @@ def mix(
     words, and sources without any, take no part: 0 copies. A null source is a
     source. ``docs`` needs doc_id, text and source; repeated rows count each.
     Draws depend on doc_id alone, so reruns agree.
+
+    With ``weight_col`` documents are due copies in proportion to it, at most
+    ``most_repeats``; what that cuts off is shared out among the others of the
+    source. Null, NaN, infinite, zero and negative weights: 0 copies. A source whose
+    weighted documents cannot fill its target is taken ``most_repeats`` times.
     """
-    weight = F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)) if weight_col else F.lit(1.0)
+    weight = F.lit(1.0)
+    if weight_col:
+        given = F.col(weight_col).cast("double")
+        weight = F.when((given > 0) & ~F.isnan(given) & (given < float("inf")), given).otherwise(0.0)
     narrow = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         weight.alias("m_weight"),
@@ -80,16 +90,19 @@ def _ranked(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, se
     )
     goals = targets(per_source, weights, most_repeats).alias("t").join(
         per_source.alias("p"), F.col("t.source").eqNullSafe(F.col("p.source"))
-    ).select("t.*", "m_weighted")
-    goals = stage(goals, "targets").withColumn("m_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    buckets = -(-narrow.count() // BUCKET_ROWS)
-
+    ).select("t.*", (F.col("target") / F.when(F.col("m_weighted") > 0, F.col("m_weighted"))).alias("m_level"))
+    goals = stage(goals, "targets")
     rows = narrow.withColumn("m_u", uniform(F.col("doc_id"), seed))
     rows = rows.withColumn("m_salt", F.floor(F.col("m_u") * SALTS).cast("int"))
-    due = F.when(F.col("size") > 0, F.least(F.lit(float(most_repeats)), F.col("target") * F.col("m_weight") / F.col("m_weighted")))
-    rows = rows.alias("d").join(
-        goals.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.m_salt") == F.col("t.m_salt")), "left"
-    ).select("d.doc_id", "d.source", "size", "m_u", "source_size", "target", F.coalesce(due, F.lit(0.0)).alias("m_due"))
+    if weighted:
+        goals = _levels(rows, goals, most_repeats)
+    buckets = -(-narrow.count() // BUCKET_ROWS)
+
+    takes_part = (F.col("size") > 0) & (F.col("m_weight") > 0) & F.col("m_level").isNotNull()
+    due = F.when(takes_part, F.least(F.lit(float(most_repeats)), F.col("m_level") * F.col("m_weight")))
+    rows = _with_source(rows, goals).select(
+        "doc_id", "source", "size", "m_u", "m_salt", "source_size", "target", F.coalesce(due, F.lit(0.0)).alias("m_due"), "m_weight"
+    )
     # exact where a source has no document weights: whole copies of all, one part of each
     odds = lambda p: p / (1.0 - p)
     whole = F.floor("m_due")
@@ -97,13 +110,62 @@ def _ranked(narrow: DataFrame, weights: tuple[float, ...], most_repeats: int, se
     rank = F.when((part > 0) & (F.col("m_due") < most_repeats), odds(F.col("m_u")) / odds(part))
     rows = rows.select("*", whole.alias("m_whole"), rank.alias("m_rank"))
     # documents that could take one more copy but have no part left come after all others
-    rows = rows.withColumn("m_rank", F.when(F.col("m_rank").isNull() & (F.col("m_whole") < most_repeats) & (F.col("size") > 0), odds(F.col("m_u")) * 1e18).otherwise(F.col("m_rank")))
+    could = F.col("m_rank").isNull() & (F.col("m_whole") < most_repeats) & (F.col("size") > 0) & (F.col("m_weight") > 0)
+    rows = rows.withColumn("m_rank", F.when(could, odds(F.col("m_u")) * 1e18).otherwise(F.col("m_rank")))
+    if weighted:
+        return _bucketed_by_quantiles(rows).drop("m_salt", "m_weight")
     # with equal weights the rank of a source rises with the draw, which is even
-    place = F.col("m_rank") / (1.0 + F.col("m_rank")) if weighted else F.when(F.col("m_rank").isNotNull(), F.col("m_u"))
+    rows, place = rows.drop("m_salt", "m_weight"), F.when(F.col("m_rank").isNotNull(), F.col("m_u"))
     spot = F.floor(place * float(buckets)).cast("long")
     return rows.withColumn("m_bucket", F.coalesce(F.least(spot, F.lit(buckets - 1)), F.pmod(F.xxhash64("doc_id"), F.lit(max(1, buckets))) - buckets))
 
 
+def _with_source(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """Rows (with ``m_salt``) with the entry of their source; a hot source is met by each of its salts."""
+    entries = goals.withColumnRenamed("source", "g_source").withColumn("g_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(entries, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("m_salt") == F.col("g_salt")), "left").drop("g_source", "g_salt")
+
+
+def _levels(rows: DataFrame, goals: DataFrame, most_repeats: int) -> DataFrame:
+    """The level of each source at which its documents, level * weight copies each and at most the limit, fill the target.
+
+    Documents at the limit are taken out and the rest of the target is shared out among the others, until none
+    is over the limit. Each round is one aggregation over the narrow rows; the level only rises and never goes too far.
+    """
+    for _ in range(ROUNDS):
+        full = F.col("m_level") * F.col("m_weight") >= most_repeats
+        sums = _with_source(rows.where("size > 0 AND m_weight > 0"), goals).groupBy(F.col("source").alias("s_source")).agg(
+            F.sum(F.when(full, F.col("size")).otherwise(0)).alias("m_full"),
+            F.sum(F.when(~full, F.col("size") * F.col("m_weight")).otherwise(0.0)).alias("m_rest"),
+        )
+        level = F.when(F.col("m_rest") > 0, (F.col("target") - most_repeats * F.col("m_full")) / F.col("m_rest"))
+        risen = goals.join(sums, F.col("source").eqNullSafe(F.col("s_source")), "left").select(
+            "source", "source_size", "target", F.greatest("m_level", level).alias("m_level"),
+            F.coalesce(level > F.col("m_level") * (1 + 1e-9), F.lit(False)).alias("m_risen"),
+        )
+        risen = stage(risen, "levels")
+        goals = risen.drop("m_risen")
+        if not risen.where("m_risen").limit(1).count():
+            break
+    return goals
+
+
+def _bucketed_by_quantiles(rows: DataFrame) -> DataFrame:
+    """Add the bucket of each row: between two quantiles of the rank in its source, and an even step between them if that holds many rows."""
+    steps = F.array(*(F.lit(i / BORDERS) for i in range(1, BORDERS)))
+    found = rows.where("m_rank IS NOT NULL").groupBy("source").agg(
+        F.percentile_approx("m_rank", steps, F.lit(10_000)).alias("m_borders"), F.ceil(F.count("*") / (BORDERS * BUCKET_ROWS)).alias("m_steps")
+    )
+    joined = _with_source(rows, stage(found, "borders"))
+    above = F.size(F.filter("m_borders", lambda border: border <= F.col("m_rank")))
+    low, high = F.coalesce(F.get("m_borders", F.col("m_above") - 1), F.lit(0.0)), F.get(F.col("m_borders"), F.col("m_above"))
+    part = F.when(high > low, F.floor((F.col("m_rank") - low) / (high - low) * F.col("m_steps"))).otherwise(0)
+    spot = F.col("m_above") * F.col("m_steps") + F.greatest(F.lit(0), F.least(part, F.col("m_steps") - 1))
+    placed = joined.withColumn("m_above", above).withColumn("m_bucket", F.when(F.col("m_rank").isNotNull(), spot.cast("long")))
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1024)) - 1024  # rows that need no rank
+    return placed.withColumn("m_bucket", F.coalesce("m_bucket", spread)).drop("m_borders", "m_steps", "m_above")
+
+
 def _mix(rows: DataFrame) -> DataFrame:
     sums = rows.groupBy("source", "m_bucket").agg(
         F.sum(F.when(F.col("m_bucket") >= 0, F.col("size")).otherwise(0)).alias("m_words"),
