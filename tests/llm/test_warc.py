@@ -92,3 +92,15 @@ def test_chunks():
 
 def test_empty_table(pages):
     assert warc.round_trip(pages.limit(0)).collect() == []
+
+
+def test_archives_have_bounded_bytes(spark, tmp_path, monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(warc, "GROUP_BYTES", 10_000)
+    monkeypatch.setattr(warc, "FILE_GROUPS", 3)
+    rows = [(i, "u", f"{i} " * (20 if i % 9 else 30_000)) for i in range(400)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), str(tmp_path / "a"))
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "a").glob("part-*")]
+    assert max(sizes) <= 3 * (10_000 + warc.SEGMENT_BYTES + 600) and sorted(sizes)[len(sizes) // 2] > 10_000
+    assert warc.reassemble(warc.read_records(spark, str(tmp_path / "a"))).count() == 400

@@ -36,10 +36,12 @@ from ..functions.staging import new_folder, stage
 
 SEGMENT_BYTES = 64 * 1024
 CHUNK_BYTES = 16 * 1024
-FILE_RECORDS = 256  # at most FILE_RECORDS * SEGMENT_BYTES to a file, and its headers
+GROUP_BYTES = 1 << 20  # records are handed to the writer in groups of so many bytes, and at most one record more
+FILE_GROUPS = 16  # groups to a file, so archives have bounded bytes, however long or short their records are
 SALTS = 16
 _DATE = "2025-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+_BETWEEN = b"\r\n\r\n"  # ends each record
 _RECORD = "kind string, page_id long, url string, origin string, number int, total long, digest string, refers_to long, body binary"
 
 
@@ -180,8 +182,14 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     )
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups of records, with the line ends between them that the writer puts between groups."""
+        out: list[bytes] = []
+        held = 0
+
+        def group() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([_BETWEEN.join(out)], pa.binary())], names=["record"])
+
         for batch in batches:
-            out, held = [], 0
             for page_id, url, html, refers_to, again, place in zip(*batch.columns):
                 payload = html.as_py().encode("utf-8", "surrogatepass")
                 page_id, url, refers_to = page_id.as_py(), url.as_py(), refers_to.as_py()
@@ -192,15 +200,17 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
                     made = segments(record_id(page_id, f"row-{place.as_py()}"), url, payload)
                 else:
                     made = segments(record_id(page_id, f"sha1-{digest}"), url, payload)
-                out += made
-                held += sum(map(len, made))
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
-                    out, held = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+                for record in made:
+                    out.append(record)
+                    held += len(record)
+                    if held >= GROUP_BYTES:
+                        yield group()
+                        out, held = [], 0
+        if out:
+            yield group()
 
     lines = planned.mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    lines.write.option("lineSep", _BETWEEN.decode()).option("compression", "gzip").option("maxRecordsPerFile", FILE_GROUPS).text(folder)
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
