@@ -5,8 +5,10 @@ import functools
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
 from voxsift.llm.queries import tokenizer_file
-from voxsift.llm.token_prefix import PrefixCounts, prefix_table, token_counts
+from voxsift.llm.token_prefix import _LONGEST_KEPT, PrefixCounts, prefix_table, token_counts
 
 FILE = tokenizer_file("word_bpe_49k.json")
 TEXTS = [
@@ -66,3 +68,13 @@ def test_queries_of_a_table(spark):
         if len(text) < 100:
             assert row.tokens == [library(text[:end]) for end in row.ends]
     assert token_counts(docs.limit(0), FILE).collect() == []
+
+
+def test_long_words_are_not_kept():
+    counts = PrefixCounts(FILE)
+    long = "abcdefghij" * 5_000
+    library = Tokenizer.from_file(FILE)
+    for text in (long, f"short {long} short", "é" * 300 + " x"):
+        assert counts.count(text) == counts.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    kept = _LONGEST_KEPT
+    assert max(map(len, counts._words)) <= kept and max(map(len, counts._chunks)) <= kept and "short" in counts._words

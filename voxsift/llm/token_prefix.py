@@ -34,6 +34,7 @@ _CHUNK = re.compile(r"[^\t-\r ]+")
 # characters that str.split() takes for white space and not every library does: then only ASCII white space divides
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _MOST_WORDS = 900_000  # tables kept per worker; full ones are emptied and filled again
+_LONGEST_KEPT = 64  # characters of a word or chunk that is kept, so that the tables are bounded in bytes
 
 
 @cache
@@ -85,7 +86,7 @@ class PrefixCounts:
         """
         pair = (left, right)
         if pair not in self._fits:
-            if len(self._fits) > 4 * _MOST_WORDS:
+            if len(self._fits) > _MOST_WORDS:
                 self._fits.clear()
             before, after, i, j = self._edge(left, 1), self._edge(right, 0), 0, 0
             while True:
@@ -151,7 +152,10 @@ class PrefixCounts:
             if len(self._words) > _MOST_WORDS:
                 self._words.clear()
             last, count = self._last_tokens(word, len(word) - 1)
-            self._words[word] = self._ended(word, len(word), last, count)
+            total = self._ended(word, len(word), last, count)
+            if len(word) > _LONGEST_KEPT:
+                return total
+            self._words[word] = total
         return self._words[word]
 
     def _units(self, chunk: str) -> list[str]:
@@ -166,7 +170,8 @@ class PrefixCounts:
         total, words = 0, self._words
         for unit in self._units(chunk):
             total += words[unit] if unit in words else self._of_word(unit)
-        self._chunks[chunk] = total
+        if len(chunk) <= _LONGEST_KEPT:
+            self._chunks[chunk] = total
         return total
 
     def _parts_of(self, text: str) -> Iterator[tuple[bool, list[str]]]:
