@@ -1,7 +1,9 @@
 """Recorded model responses: text in, validated fields or a reject reason out.
 
-A response row is ``(source_id, stage, attempt, raw)``. Parsing is one
-expression over the tall table, whatever the stage; nothing is parsed per item.
+A response row is ``(source_id, stage, attempt, raw)``, and may name the
+``source_type`` of its item and when it was ``recorded_at`` (a number or a
+timestamp). Parsing is one expression over the tall table, whatever the stage;
+nothing is parsed per item.
 """
 
 from __future__ import annotations
