@@ -138,3 +138,11 @@ def test_pages_the_fit_has_not_seen(given_pages):
     rows = [r for r in h.main_text(unseen, model).collect() if source[r.page_id] not in seen]
     wrong = [r.page_id for r in rows if r.text != plain(source[r.page_id])]
     assert len(rows) > 100 and len(wrong) <= len(rows) * 0.01, wrong[:5]
+
+
+def test_labels_come_from_the_marked_article_alone():
+    page = parse("<div class=menu><p>a</p></div><article class=post><p>b</p><div class=comments><p>c</p></div><aside>d</aside><h2>e</h2></article>")
+    told = h.labels(page)
+    assert [(node.tag, label) for node, label in zip(page.nodes, told)] == [
+        ("page", 0), ("div", 0), ("p", 0), ("article", 1), ("p", 1), ("div", -1), ("p", -1), ("aside", -1), ("h2", 1)]
+    assert h.labels(parse("<article>a</article><article>b</article>")) is None and h.labels(parse("<p>a")) is None

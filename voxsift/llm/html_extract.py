@@ -96,14 +96,20 @@ def extract(source: str, model: Model) -> list[str]:
 
 
 def labels(page: Page) -> list[int] | None:
-    """1 for each node inside the page's only article, 0 outside; elements that never are content keep 0. None if unmarked."""
+    """1 for each node inside the page's only article, 0 outside it. None if the page does not mark one.
+
+    -1, unknown, for what may stand in an article without being its text: menus, forms and elements named like comments
+    or adverts, with all they hold. Nothing is learnt from these, so the fit does not only repeat its prior.
+    """
     if sum(node.tag == "article" for node in page.nodes) != 1:
         return None
-    never = ("nav", "footer", "aside", "form", "button", "select")
+    unsure = ("nav", "footer", "aside", "form", "button", "select")
     told: list[int] = []
     for node in page.nodes:
-        inside = node.tag == "article" or (node.parent >= 0 and told[node.parent] == 1)
-        told.append(int(inside and node.tag not in never and not any(_PRIOR.get("word " + w, 0) <= -8 for w in node.words)))
+        above = told[node.parent] if node.parent >= 0 else 0
+        if above == 1 and (node.tag in unsure or any(_PRIOR.get("word " + w, 0) <= -8 for w in node.words)):
+            above = -1
+        told.append(1 if node.tag == "article" else above)
     return told
 
 
@@ -120,11 +126,13 @@ def fit(pages: list[str], strength: float = PRIOR_STRENGTH, rounds: int = 60) ->
         told = labels(page)
         if told is None:
             continue
-        rows += features(page)
-        truth += told
-        above += [told[max(node.parent, 0)] for node in page.nodes]
-        for node, label in zip(page.nodes[1:], told[1:]):
-            ties[told[node.parent], label] += 1
+        known = [n for n, label in enumerate(told) if label >= 0]  # with all that they stand in
+        own = features(page)
+        rows += [own[n] for n in known]
+        truth += [told[n] for n in known]
+        above += [told[max(page.nodes[n].parent, 0)] for n in known]
+        for n in known[1:]:
+            ties[told[page.nodes[n].parent], told[n]] += 1
     if not rows:
         return default_model()
     names = sorted({name for own in rows for name, _ in own})
