@@ -46,6 +46,14 @@ def test_equal_to_scoring_all_pairs(spark, monkeypatch):
     assert found(spark, rows) == plain(rows)
 
 
+def test_shards_without_rows_and_results_given_out_early(spark, monkeypatch):
+    monkeypatch.setattr(hn, "SHARD_ROWS", 1)
+    monkeypatch.setattr(hn, "ANCHOR_BLOCK", 2)
+    monkeypatch.setattr(hn, "HELD_BLOCKS", 1)
+    rows = clustered(160)
+    assert found(spark, rows, anchors="id % 20 = 0") == plain(rows, anchor=lambda i: i % 20 == 0)
+
+
 def test_bounds_hold_and_leave_pairs_out():
     rows = np.array([r[1] for r in clustered(3000)])
     whole = np.floor(256 * rows)

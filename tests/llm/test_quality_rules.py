@@ -96,3 +96,15 @@ def test_no_document_passes_the_base_rules(spark, texts):
     assert q.keep_good(docs).count() == 0
     with_one = docs.unionByName(spark.createDataFrame([(99, " ".join(f"w{i}" for i in range(60)), None, None)], docs.schema))
     assert [r.doc_id for r in q.quality(with_one).collect() if r.kept] == [99]
+
+
+def test_fences_of_a_large_group_keep_to_the_error_of_the_sketch(spark):
+    """More values than a sketch holds: quartiles may be off by RANK_ERROR of the ranks, whatever is drawn."""
+    value = "((id * 7919) % 60013) / 60013D"
+    shares = ", ".join(f"'{name}', {value}" for name in q.MARGINS)
+    rows = spark.range(0, 60_013, 1, 7).selectExpr("'en' AS q_lang", "'s' AS q_source", f"named_struct('base_failed', false, 'shares', named_struct({shares})) AS q")
+    assert 60_013 > 10 * q.SKETCH_K
+    fence = q.fences(rows).first()["q_fence"]
+    for name, margin in q.MARGINS.items():
+        want = 0.75 + max(margin, q.SPREAD * 0.5)
+        assert abs(fence[name] - want) <= q.RANK_ERROR * (1 + 2 * q.SPREAD)

@@ -351,6 +351,8 @@ def best_rows(rows: DataFrame, anchors: DataFrame, best: int, same_label: bool)
                     waiting.append(row)
                     continue
                 if shard is None:
+                    if not waiting:  # a shard that no row fell into
+                        continue
                     columns = [[r[n] for r in waiting] for n in ("id", "uid", "label", "vec", "row_angles", "norm")]
                     shard, waiting = Shard(key[1], *columns), []
                 block = blocks.get(row["uids"])

@@ -28,6 +28,7 @@ SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SKETCH_K = 4096
+RANK_ERROR = 0.002  # of a quantile's rank, by a sketch that holds fewer values than it has seen; smaller groups are exact
 LEAST_ROWS = 30  # documents a group needs for fences of its own
 SPREAD = 3.0
 SALTS = 32
