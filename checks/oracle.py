@@ -607,6 +607,11 @@ def all_statements() -> dict[str, str]:
             _profile("emails", "raw_emails", ["email_id", "subject", "body", "sender_email", "timestamp", "priority"]),
             _profile("labels", "labels", ["doc_id", "quality", "toxic"]),
         ])),
+        "input_files": "SELECT *, true AS sizes_fit FROM (" + " UNION ALL ".join([
+            _profile("customer", "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+            _profile("labels", "labels", ["doc_id", "quality", "toxic"]),
+            _profile("conversations", "conversations", ["conv_id", "turn", "role", "text"]),
+        ]) + ")",
         "load_coerce_tickets": on(ITEMS, f"SELECT source_id AS ticket_id, source_type, try_cast({_TIME_TEXT} AS TIMESTAMP) AS created_at FROM items"),
         "load_coerce_log": on(ITEMS, f"""SELECT source_id, try_cast(CASE WHEN {_N} < 10 THEN 'n/a' WHEN {_N} < 20 THEN ''
             WHEN {_N} < 30 THEN '1e-1' ELSE '0.' || ({_N}) END AS DOUBLE) AS confidence,
