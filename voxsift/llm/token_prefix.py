@@ -86,7 +86,7 @@ class PrefixCounts:
         """
         pair = (left, right)
         if pair not in self._fits:
-            if len(self._fits) > _MOST_WORDS:
+            if len(self._fits) > 4 * _MOST_WORDS:  # pairs of tokens, which are bounded in length
                 self._fits.clear()
             before, after, i, j = self._edge(left, 1), self._edge(right, 0), 0, 0
             while True:
