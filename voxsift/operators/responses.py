@@ -219,9 +219,10 @@ def _order(responses: DataFrame) -> Column:
 
 
 def usable_answers(responses: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(key, slot, recorded, answer per stage): the responses of the named slots that can be used, parsed once.
+    """(key, slot, recorded, answer per stage): the responses of the named slots that can be used.
 
-    Adds the key's own columns too: source_id, and source_type if the responses have it.
+    Adds the key's own columns too: source_id, and source_type if the responses have it. All parsed
+    responses are written first: a filter on what is parsed would parse everything twice.
     """
     stages = sorted({ANSWERS[name][0] for name in names})
     typed = "source_type" in responses.columns
@@ -237,7 +238,7 @@ def usable_answers(responses: DataFrame, names: Sequence[str]) -> DataFrame:
     ]
     keys = ["source_type", "source_id"] if typed else ["source_id"]
     taken = _with_key(parsed, typed).select(KEY, *keys, "__slot", "__recorded", *answers)
-    return taken.filter(F.coalesce(*(F.when(F.col(f"__{name}").isNotNull(), True) for name in stages), F.lit(False)))
+    return stage(taken, "answers").filter(F.coalesce(*(F.when(F.col(f"__{name}").isNotNull(), True) for name in stages), F.lit(False)))
 
 
 def _repeated(usable: DataFrame) -> DataFrame:
@@ -293,7 +294,7 @@ def attach_answers(
     blank one say; the lookups spread such items over all tasks.
     """
     typed = "source_type" in responses.columns
-    answers = one_answer_each(stage(usable_answers(responses, names), "answers"))
+    answers = one_answer_each(usable_answers(responses, names))
     keyed = _with_key(items, typed)
     rights = [
         answers.filter(F.col("__slot") == name).select(KEY, F.col(f"__{ANSWERS[name][0]}").alias(name)) for name in names
